@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from . import neardup
 from .media import op4_telephony_audio
+from .neardup import op1_minhash_neardup
 from .sharding import op9_feistel_shards
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_minhash_neardup": op1_minhash_neardup,
         "op4_telephony_audio": op4_telephony_audio,
         "op9_feistel_shards": op9_feistel_shards,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_minhash_neardup": neardup.ORACLE_SQL,
+    }
