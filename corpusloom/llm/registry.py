@@ -7,6 +7,7 @@ from collections.abc import Callable
 from . import neardup
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
+from .sentencepiece_stream import op5_sentencepiece
 from .sharding import op9_feistel_shards
 
 
@@ -14,6 +15,7 @@ def queries() -> dict[str, Callable]:
     return {
         "op1_minhash_neardup": op1_minhash_neardup,
         "op4_telephony_audio": op4_telephony_audio,
+        "op5_sentencepiece": op5_sentencepiece,
         "op9_feistel_shards": op9_feistel_shards,
     }
 
