@@ -9,6 +9,7 @@ from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
 from .sentencepiece_stream import op5_sentencepiece
 from .sharding import op9_feistel_shards
+from .toxicity import op10_toxicity
 
 
 def queries() -> dict[str, Callable]:
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable]:
         "op4_telephony_audio": op4_telephony_audio,
         "op5_sentencepiece": op5_sentencepiece,
         "op9_feistel_shards": op9_feistel_shards,
+        "op10_toxicity": op10_toxicity,
     }
 
 
