@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import neardup
+from . import decontamination, neardup
+from .decontamination import op7_decontamination
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
 from .sentencepiece_stream import op5_sentencepiece
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable]:
         "op1_minhash_neardup": op1_minhash_neardup,
         "op4_telephony_audio": op4_telephony_audio,
         "op5_sentencepiece": op5_sentencepiece,
+        "op7_decontamination": op7_decontamination,
         "op9_feistel_shards": op9_feistel_shards,
         "op10_toxicity": op10_toxicity,
     }
@@ -25,4 +27,5 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_neardup": neardup.ORACLE_SQL,
+        "op7_decontamination": decontamination.ORACLE_SQL,
     }
