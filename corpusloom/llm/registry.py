@@ -8,6 +8,7 @@ from . import decontamination, neardup
 from .decontamination import op7_decontamination
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
+from .pii import op3_pii
 from .sentencepiece_stream import op5_sentencepiece
 from .sharding import op9_feistel_shards
 from .toxicity import op10_toxicity
@@ -16,6 +17,7 @@ from .toxicity import op10_toxicity
 def queries() -> dict[str, Callable]:
     return {
         "op1_minhash_neardup": op1_minhash_neardup,
+        "op3_pii": op3_pii,
         "op4_telephony_audio": op4_telephony_audio,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_decontamination": op7_decontamination,
