@@ -9,6 +9,7 @@ from .decontamination import op7_decontamination
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
 from .pii import op3_pii
+from .quality import op6_weak_label_quality
 from .sentencepiece_stream import op5_sentencepiece
 from .sharding import op9_feistel_shards
 from .toxicity import op10_toxicity
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable]:
         "op3_pii": op3_pii,
         "op4_telephony_audio": op4_telephony_audio,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_weak_label_quality": op6_weak_label_quality,
         "op7_decontamination": op7_decontamination,
         "op9_feistel_shards": op9_feistel_shards,
         "op10_toxicity": op10_toxicity,
@@ -29,5 +31,6 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_neardup": neardup.ORACLE_SQL,
+        "op6_weak_label_quality": op6_weak_label_quality,
         "op7_decontamination": decontamination.ORACLE_SQL,
     }
