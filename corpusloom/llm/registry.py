@@ -12,6 +12,7 @@ from .pii import op3_pii
 from .quality import op6_weak_label_quality
 from .sentencepiece_stream import op5_sentencepiece
 from .sharding import op9_feistel_shards
+from .token_counts import op8_edit_aware_counts
 from .toxicity import op10_toxicity
 
 
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable]:
         "op5_sentencepiece": op5_sentencepiece,
         "op6_weak_label_quality": op6_weak_label_quality,
         "op7_decontamination": op7_decontamination,
+        "op8_edit_aware_counts": op8_edit_aware_counts,
         "op9_feistel_shards": op9_feistel_shards,
         "op10_toxicity": op10_toxicity,
     }
