@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import decontamination, neardup
+from . import decontamination, license_scan, neardup
 from .decontamination import op7_decontamination
+from .license_scan import op2_license_scan
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
 from .pii import op3_pii
@@ -19,6 +20,7 @@ from .toxicity import op10_toxicity
 def queries() -> dict[str, Callable]:
     return {
         "op1_minhash_neardup": op1_minhash_neardup,
+        "op2_license_scan": op2_license_scan,
         "op3_pii": op3_pii,
         "op4_telephony_audio": op4_telephony_audio,
         "op5_sentencepiece": op5_sentencepiece,
@@ -34,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_neardup": neardup.ORACLE_SQL,
         "op6_weak_label_quality": op6_weak_label_quality,
+        "op2_license_scan": license_scan.oracle(),
         "op7_decontamination": decontamination.ORACLE_SQL,
     }
