@@ -14,10 +14,10 @@ BROADCAST_ROWS = 200_000
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else.
 
-    ``lower`` does just that, and fast, unless the text has a capital beyond ASCII.
+    ``lower`` does just that, and fast, on a text of ASCII characters only.
     """
-    capital = F.regexp_like(text, F.lit(r"[\p{Lu}\p{Lt}\p{Nl}\p{So}&&[^\x00-\x7F]]"))
-    return F.when(capital, F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(text))
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def words(text: Column, separators: str) -> Column:
