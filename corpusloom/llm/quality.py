@@ -102,10 +102,10 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         column[good & (n > 0)] = 1
         column[bad & (n > 0)] = 0
 
-    prose = (symbols < 0.03) & ((capitals < 0.2) | (n < 10)) & (exclaim < 0.03) & (bars < 0.02) & ((repeat < 0.1) | (n < 10)) & (strange < 0.12)
+    prose = (symbols < 0.03) & ((capitals < 0.2) | (n < 10)) & (exclaim < 0.03) & (bars < 0.02) & ((repeat < 0.1) | (n < 10)) & ((strange < 0.12) | (n < 10))
     never = np.zeros(n_docs, dtype=bool)
     vote("symbols", never, symbols > 0.15)
-    vote("odd_bytes", never, strange > 0.15)
+    vote("odd_bytes", never, (strange > 0.15) & (n >= 10))
     vote("shouting", never, (capitals > 0.35) & (n >= 10))
     vote("exclaiming", never, exclaim > 0.1)
     vote("repeating", never, repeat > 0.25)

@@ -398,7 +398,7 @@ def test_toxicity(spark):
     for i in range(400):
         w = [r.choice(words) for _ in range(40)]
         if i % 5 == 0:
-            w[3], w[9] = r.choice(["zlorp", "vexgrub"]), "z.l.o.r.p" if i % 2 else "vexgrub"
+            w[3] = r.choice(["zlorp", "vexgrub", "zlooorp"])
         items.append((i, " ".join(w)))
         labels.append((i, 1, int(i % 5 == 0)))
     items += [(900, None), (901, ""), (902, "zlorp " * 20000), (0, items[0][1])]
