@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .native import ascii_lower, words
-from .textkit import table
+from .textkit import stored, table
 
 SHINGLE = 5
 BANDS = 20
@@ -115,7 +115,8 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     near = near.select("doc_id", "text_hash", words(F.col("low"), SEPARATORS).alias("w"))
     known = F.array(*(F.lit(k) for k in KEYWORDS))
     places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.array_contains(known, F.get("w", i)))
-    near = near.where(F.size("w") > 0).select("doc_id", "text_hash", "w", places.alias("places"))
+    # Written once: every window size below reads it, and it's what few documents pass.
+    near = stored(near.where(F.size("w") > 0).select("doc_id", "text_hash", "w", places.alias("places")), "near")
 
     windows = None
     for g, step, length in sorted({s[1:] for s in specs().values()}):
