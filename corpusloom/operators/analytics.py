@@ -144,3 +144,52 @@ def log_tail(lines: DataFrame, n: int) -> DataFrame:
     n = bounded(n, 10, 2000)
     numbered = lines.withColumn("line", F.monotonically_increasing_id())
     return numbered.orderBy(F.col("line").desc()).limit(n).orderBy("line")
+
+
+def fold_visits(state: DataFrame, visits: DataFrame) -> DataFrame:
+    """The state of each URL after a batch of later visits: what ``visited`` would give over
+    all of them. For use from a stream's batches."""
+    last = visited(visits)
+    first = visits.groupBy("url_hash").agg(F.min_by("content_hash", F.struct("ts", "event_id")).alias("first_hash"))
+    new = last.join(first, "url_hash")
+    s, n = state.alias("s"), new.alias("n")
+    joined = s.join(n, F.col("s.url_hash") == F.col("n.url_hash"), "full")
+    # With one visit in the batch, the visit before it is the state's last one.
+    across = ~F.col("s.content_hash").eqNullSafe(F.col("n.first_hash"))
+    changed = (
+        F.when(F.col("n.url_hash").isNull(), F.col("s.has_changed"))
+        .when(F.col("s.url_hash").isNotNull() & (F.col("n.visit_count") == 1), across)
+        .otherwise(F.col("n.has_changed"))
+    )
+    return joined.select(
+        F.coalesce("s.url_hash", "n.url_hash").alias("url_hash"), F.coalesce("s.first_visited", "n.first_visited").alias("first_visited"),
+        F.coalesce("n.last_visited", "s.last_visited").alias("last_visited"), (F.coalesce("s.visit_count", F.lit(0)) + F.coalesce("n.visit_count", F.lit(0))).alias("visit_count"),
+        F.when(F.col("n.url_hash").isNull(), F.col("s.content_hash")).otherwise(F.col("n.content_hash")).alias("content_hash"), changed.alias("has_changed"),
+    )
+
+
+def configured(config: DataFrame, states: DataFrame) -> DataFrame:
+    """The configured sources with the stored enabled state; enabled where none is stored. By
+    priority, then name."""
+    stored = states.select("name", F.col("enabled").alias("_stored"))
+    out = config.join(stored, "name", "left").withColumn("enabled", F.coalesce("_stored", F.lit(True))).drop("_stored")
+    return out.orderBy("priority", "name")
+
+
+def batch_totals(results: DataFrame) -> DataFrame:
+    """Sums over the per-document results of a generator batch (status, pairs)."""
+    return results.agg(
+        F.count("*").alias("processed"), F.coalesce(F.sum("pairs"), F.lit(0)).alias("generated"),
+        F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("status") == "skipped").alias("skipped"),
+    )
+
+
+def iso(ts: Column) -> Column:
+    """A timestamp as ISO-8601 text, with a fraction only if there is one."""
+    return F.regexp_replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
+
+
+def cached_hashes(seen: DataFrame, as_of: Column, seconds: int) -> DataFrame:
+    """The hashes (hash, id, ts) still remembered at a time: the latest id of each."""
+    live = seen.where(F.unix_timestamp(as_of) - F.unix_timestamp("ts") < seconds)
+    return live.groupBy("hash").agg(F.max_by("id", "ts").alias("id"))

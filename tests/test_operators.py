@@ -138,3 +138,27 @@ def test_stream_rounds(spark, tmp_path):
     assert seen == [1, 2]
     rounds.to_table(rounds.first_seen(stream(), ["event_id"]), str(tmp_path / "out"), str(tmp_path / "cp2"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_fold_visits(spark):
+    t = datetime.datetime
+    events = [(k, t(2024, 1, 1, 0, k), "uvw"[k % 3] if k < 9 else "x", "ab"[(k * k // 5) % 2]) for k in range(12)]
+    schema = "event_id long, ts timestamp, url_hash string, content_hash string"
+    frame = lambda part: spark.createDataFrame(part, schema)
+    wanted = rows(analytics.visited(frame(events)))
+    for cut in (3, 6, 9):
+        state = analytics.visited(frame(events[:cut]))
+        columns = state.columns
+        assert rows(analytics.fold_visits(state, frame(events[cut:])).select(*columns)) == wanted
+
+
+def test_small_rollups(spark):
+    config = spark.createDataFrame([("b", 1), ("a", 1), ("c", 0)], "name string, priority int")
+    states = spark.createDataFrame([("a", False)], "name string, enabled boolean")
+    assert [(r.name, r.enabled) for r in analytics.configured(config, states).collect()] == [("c", True), ("a", False), ("b", True)]
+    done = spark.createDataFrame([("generated", 4), ("failed", 0), ("skipped", 0)], "status string, pairs int")
+    assert tuple(analytics.batch_totals(done).first()) == (3, 4, 1, 1)
+    ts = spark.createDataFrame([(datetime.datetime(2024, 1, 2, 3, 4, 5),), (datetime.datetime(2024, 1, 2, 3, 4, 5, 60),)], "ts timestamp")
+    assert [r[0] for r in ts.select(analytics.iso(F.col("ts"))).collect()] == ["2024-01-02T03:04:05", "2024-01-02T03:04:05.000060"]
+    seen = spark.createDataFrame([("h", 1, datetime.datetime(2024, 1, 1)), ("h", 2, datetime.datetime(2024, 1, 2)), ("g", 3, datetime.datetime(2023, 1, 1))], "hash string, id int, ts timestamp")
+    assert rows(analytics.cached_hashes(seen, F.lit("2024-01-02 10:00:00").cast("timestamp"), 86400)) == [("h", 2)]
