@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .textkit import Words, groups, mix64, small_batches, stored, table, utf8_list
 
 BUCKETS = 512
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 REJECT_BELOW = 0.2
 LABELLERS = ("symbols", "odd_bytes", "shouting", "exclaiming", "repeating", "variety", "separators", "rhythm", "prose")
 
@@ -197,7 +197,7 @@ def _fit(features: np.ndarray, target: np.ndarray, rounds: int = 600) -> tuple[n
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Scorer, dict[str, float]]:
-    """The scorer, and the estimated accuracy of each labeller."""
+    """The scorer, and the estimated accuracy of each labeller, from columns doc_id and text."""
     spark = docs.sparkSession
     small_batches(spark)
     total = docs.count()
@@ -211,7 +211,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Scorer, dict
                 kept = [f.tobytes() if d < rate else None for f, d in zip(features, draw[begin:end], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(_encode(votes).astype(np.int32)), pa.array(draw[begin:end]), pa.array(kept, pa.binary())], names=["pattern", "draw", "features"])
 
-    drawn = (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)).alias("draw")
+    drawn = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)).alias("draw")
     voted = stored(docs.select(drawn, "text").mapInArrow(run, "pattern int, draw double, features binary"), "votes")
     rows = voted.groupBy("pattern").count().collect()
     codes, counts = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.float64)
@@ -222,7 +222,13 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Scorer, dict
     by_pattern = {int(c): float(p) for c, p in zip(codes, posterior, strict=True)}
     given = spark.createDataFrame([(k, v) for k, v in by_pattern.items()], "pattern int, p double")
     sample = voted.where("features is not null").join(F.broadcast(given), "pattern")
-    picked = [sample.where(side).orderBy("draw", "pattern").limit(sample_rows).select("features", "p").collect() for side in ("p >= 0.5", "p < 0.5")]
+    # Each side is thinned to about sample_rows by hash where it lies; what reaches the driver
+    # is bounded by the limit.
+    picked = []
+    for good in (True, False):
+        share = 1.2 * sample_rows / max(1.0, float(counts[(posterior >= 0.5) == good].sum()))
+        side = sample.where((F.col("p") >= 0.5) == good).where(F.col("draw") < share)
+        picked.append(side.select("features", "p").limit(sample_rows).collect())
     if not picked[0] or not picked[1]:
         return Scorer(by_pattern, None, 0.0), named
     features = np.stack([np.frombuffer(r[0], dtype=np.float32) for side in picked for r in side])
@@ -253,7 +259,7 @@ def accepted() -> Column:
 
 def reject(docs: DataFrame) -> DataFrame:
     """The accepted documents, with their own columns only."""
-    scorer, _ = train(docs.select("text"))
+    scorer, _ = train(docs.select("doc_id", "text"))
     inner = docs.toDF(*(f"c{i}_{c}" if c != "text" else c for i, c in enumerate(docs.columns)))
     kept = score(inner, scorer).where(accepted()).drop("score", "weak_posterior")
     return kept.toDF(*docs.columns)
@@ -261,6 +267,6 @@ def reject(docs: DataFrame) -> DataFrame:
 
 def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    scorer, _ = train(docs.select("text"))
+    scorer, _ = train(docs)
     out = score(docs, scorer)
     return out.select("doc_id", "score", "weak_posterior", accepted().cast("int").alias("predicted"))
