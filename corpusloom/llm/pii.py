@@ -10,15 +10,16 @@ documents,
 
     disclosure(t, e) = log(n(t,e) * N / (n(t) * n(e))) / log(N / n(e)),
 
-which is 1 when t occurs with e alone and 0 when both are independent. Terms with a
-disclosure of THRESHOLD or more and SUPPORT different texts behind them are generalised: their
-occurrences near e become spans of kind ``term``. ``sanitise`` replaces base spans by their
-kind and these terms by a placeholder.
+which is 1 when t occurs with e alone and 0 when both are independent. Every term that stands
+near e is rated, in however few texts e stands. Terms with a disclosure of THRESHOLD or more
+are generalised: their occurrences near e become spans of kind ``term``. ``sanitise`` replaces
+base spans by their kind and these terms by a placeholder.
 
 Only DataFrame functions are used. Counting is by partial aggregation; contexts are rows, so
-an entity in a third of all documents is never gathered in one task.
+an entity in a third of all documents is never gathered in one task. Pairs meet the counts of
+their terms and entities in joins that broadcast the few keys with a large share of the pairs.
 
-Edge cases: null and empty texts have no spans; copies of a text alone don't give support;
+Edge cases: null and empty texts have no spans; copies with other ids count as documents;
 repeated rows (one id, one text) count once near an entity and each time elsewhere, so they
 never add terms, and get equal results; rows are matched by doc_id and text; an empty table gives no rows; other
 columns are ignored by ``find_personal_data`` and kept by ``sanitise``.
@@ -34,8 +35,9 @@ from pyspark.sql import functions as F
 from .textkit import stored, table
 
 CONTEXT = 80
-SUPPORT = 2
 THRESHOLD = 0.9
+#: Keys with more than one in so many rows are broadcast; there are fewer of them than that.
+SHARE = 1000
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -131,27 +133,34 @@ def _same(left: str, right: str) -> Column:
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash"))
 
 
-def disclosing_terms(docs: DataFrame, nearby: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def _with_counts(pairs: DataFrame, n_pairs: int, counts: DataFrame, key: str) -> DataFrame:
+    """``pairs`` joined with ``counts`` by ``key``, whose frequent values are not sent to one task."""
+    often = stored(pairs.groupBy(key).agg(F.count("*").alias("share")).where(F.col("share") * SHARE > n_pairs).select(key), "often")
+    few = pairs.join(F.broadcast(often), key, "left_anti").join(counts, key)
+    many = pairs.join(F.broadcast(counts.join(F.broadcast(often), key, "left_semi")), key)
+    return few.unionByName(many)
+
+
+def disclosing_terms(docs: DataFrame, nearby: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, disclosure) of the terms that reveal an entity.
 
     ``docs``: the texts of all documents; ``nearby``: entity, term, doc_id, text_hash.
     """
-    pair = nearby.groupBy("entity", "term", "text_hash").agg(F.count_distinct("doc_id").alias("docs"))
-    n_te = pair.groupBy("entity", "term").agg(F.sum("docs").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= support)
-    n_te = stored(n_te, "pairs")
+    n_te = stored(nearby.select("entity", "term", "doc_id", "text_hash").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")), "pairs")
     n_e = nearby.select("entity", "text_hash", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     wanted = stored(n_te.select("term").distinct(), "terms")
-    seen = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term"))
+    # Lower-cased one by one, as the terms near an entity are: a letter may become two.
+    seen = docs.select(F.explode(F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), 0)), F.lower))).alias("term"))
     # Summed before the join: each task sends a term once, and the join's size is the vocabulary's.
-    n_t = seen.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi")
-    total = docs.count()
-    rated = n_te.join(n_e, "entity").join(n_t, "term")
+    n_t = stored(seen.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi"), "frequencies")
+    total, n_pairs = docs.count(), n_te.count()
+    rated = _with_counts(_with_counts(n_te, n_pairs, stored(n_e, "entities"), "entity"), n_pairs, n_t, "term")
     value = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(total)) / F.col("n_e"))
     rated = rated.where(F.col("n_e") < total).withColumn("disclosure", value)
     return rated.where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
-def find_personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_hash, base and terms (arrays of spans) of every document."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     found = texts.withColumn("base", base_spans(F.col("text")))
@@ -165,7 +174,7 @@ def find_personal_data(docs: DataFrame, support: int = SUPPORT, threshold: float
     clear = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
     words = stored(words.where(clear).drop("base"), "nearby")
 
-    rated = disclosing_terms(texts, words, support, threshold)
+    rated = disclosing_terms(texts, words, threshold)
     spans = words.join(rated, ["entity", "term"]).select("doc_id", "text_hash", "start", "end", "term").distinct()
     listed = spans.groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "term"))).alias("terms")
@@ -180,12 +189,12 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with their texts sanitised; a null text stays null.
 
     Where spans overlap, the one that begins first wins, and of those the longest.
     """
-    found = find_personal_data(docs, support, threshold)
+    found = find_personal_data(docs, threshold)
     found = found.where((F.size("base") > 0) | (F.size("terms") > 0)).dropDuplicates(["doc_id", "text_hash"])
     ordered = F.array_sort(F.transform(F.concat("base", "terms"), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
     changes = found.select("doc_id", "text_hash", ordered.alias("cuts")).alias("c")

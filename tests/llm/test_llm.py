@@ -178,6 +178,20 @@ def test_disclosing_terms(spark):
     assert clean[1] == dict(items)[1] and pii.sanitise(df).columns == df.columns
 
 
+def test_single_text_entities_have_terms(spark):
+    """An entity that stands in one text is disclosed by the words that stand only there."""
+    items = [(None if i == 3 else i, f"ask Quorvath{chr(97 + i) * 3} the owner at u{i}@x.yz about matters") for i in range(8)] + [(i, "ask the owner about matters and nothing else") for i in range(100, 140)]
+    got = {x.doc_id: [s.value for s in x.terms] for x in pii.find_personal_data(frame(spark, items)).collect()}
+    assert got == {i: [t.split()[1].lower()] if "@" in t else [] for i, t in items}
+
+
+def test_counts_of_frequent_and_rare_keys(spark):
+    pairs = spark.range(5000).select(F.when(F.col("id") < 2000, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    counts = pairs.groupBy("k").agg(F.count("*").alias("n"))
+    got = pii._with_counts(pairs, 5000, counts, "k").collect()
+    assert sorted((x.k, x.v, x.n) for x in got) == sorted((-1, v, 2000) if v < 2000 else (v, v, 1) for v in range(5000))
+
+
 def test_sanitise_keeps_rows(spark):
     items = [(1, "mail a@b.c and +1 (555) 123-4567 now"), (1, "mail a@b.c and +1 (555) 123-4567 now"), (2, None), (3, "")]
     got = sorted((x.doc_id, x.text) for x in pii.sanitise(frame(spark, items)).where("doc_id <> 2").collect())
