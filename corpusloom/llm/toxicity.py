@@ -1,10 +1,11 @@
 """Toxicity scoring behind a noisy-channel deobfuscator.
 
-Restoring: a token that shows obfuscation (signs or digits between letters, a letter three
-times in a row, single letters set apart by spaces or signs) becomes a character lattice in
+Restoring: a token that shows obfuscation (signs or digits between, before or after letters, a
+letter three times in a row, single letters set apart by spaces or signs) becomes a character lattice in
 which each sign may be itself, the letter it looks like, or nothing, and a repeated letter
 may stand once or twice. Viterbi decoding under a character trigram model picks the most
-likely string. In any other token the lattice has one path, which is the token itself.
+likely string, at any length: where all paths meet, what stands before is settled. In any
+other token the lattice has one path, which is the token itself.
 
 The character model counts the trigrams of the whole corpus (sums of partial counts; its size
 is bounded by the alphabet, its evidence grows with the input).
@@ -55,10 +56,14 @@ _CODE[128:] = _OTHER
 
 _LETTERS = r"[^\W\d_]"
 _SIGN = r"[0-9@$!|+(<€£.\-_*~'^#=/\\]"
-#: Tokens whose lattice has more than one path: signs inside, runs, or letters set apart.
+_LOOK = r"[0-9@$!|+(<€£]"
+_OTHERS = r"(?:[\d_]|[^\w\s])"
+#: Tokens whose lattice has more than one path: letters set apart, signs inside, before or after
+#: letters, or runs. A token is tried where it begins, so that a long one is scanned once.
 _SUSPECT = re.compile(
     rf"(?<![^\s])(?:{_LETTERS}[ .\-_*~'^#=/\\]){{3,}}{_LETTERS}(?![^\s.,;:!?])"
-    rf"|\S*{_LETTERS}{_SIGN}+{_LETTERS}\S*|\S*[0-9@$|+(<€£]{_LETTERS}\S*|\S*({_LETTERS})\1\1\S*"
+    rf"|(?<![^\s.,;:!?])(?:\S*{_LETTERS}{_SIGN}+{_LETTERS}\S*|\S*[0-9@$|+(<€£]{_LETTERS}\S*|\S*({_LETTERS})\1\1\S*"
+    rf"|\S*{_LETTERS}(?={_OTHERS}*+(?!\S))(?:(?!{_LOOK}){_OTHERS})*+{_LOOK}\S*)"
 )
 _WORD_TABLE = byte_class([*range(0, 48), *range(58, 97), *range(123, 128)])
 
@@ -94,9 +99,8 @@ class Channel:
     def _class(char: str) -> int:
         return ord(char) - 97 if "a" <= char <= "z" else _OTHER if char.isalpha() else _EDGE
 
-    def lattice(self, token: str) -> list[list[tuple[str, float]]]:
+    def lattice(self, token: str) -> Iterator[list[tuple[str, float]]]:
         """For each position, the strings it may stand for and what each costs in the channel."""
-        out: list[list[tuple[str, float]]] = []
         i = 0
         while i < len(token):
             char, run = token[i], 1
@@ -104,19 +108,20 @@ class Channel:
                 run += 1
             if char.isalpha():
                 once = [(char, 0.0 if run == 1 else 1.0)]
-                out.append(once if run == 1 else once + [(char * 2, 0.0 if run == 2 else 1.0)])
+                yield once if run == 1 else once + [(char * 2, 0.0 if run == 2 else 1.0)]
                 i += run
                 continue
             arcs = [(x, 2.0) for x in LOOKS_LIKE.get(char, "")]
             if char in FILLERS or not char.isalnum():
                 arcs.append(("", 1.0))
             arcs.append((char, 4.0 if 0 < i < len(token) - 1 else 2.0))
-            out.append(arcs)
+            yield arcs
             i += 1
-        return out
 
     def restore(self, token: str) -> str:
-        """The likeliest string behind a lower-cased token."""
+        """The likeliest string behind a lower-cased token; long ones are not remembered."""
+        if len(token) > 64:
+            return self._viterbi(token)
         known = self._memory.get(token)
         if known is None:
             if len(self._memory) >= 100_000:
@@ -126,6 +131,7 @@ class Channel:
 
     def _viterbi(self, token: str) -> str:
         cost = self.cost
+        settled: list[str] = []
         best: dict[tuple[int, int], tuple[float, tuple]] = {(_EDGE, _EDGE): (0.0, ())}
         for arcs in self.lattice(token):
             following: dict[tuple[int, int], tuple[float, tuple]] = {}
@@ -140,7 +146,15 @@ class Channel:
                     if old is None or total < old[0]:
                         following[x, y] = (total, (path, string))
             best = following
+            if len(best) == 1:
+                [(state, (so_far, path))] = best.items()
+                settled.append(self._spelt(path))
+                best = {state: (so_far, ())}
         _, path = min(((s + cost[a, b, _EDGE], p) for (a, b), (s, p) in best.items()), key=lambda x: x[0])
+        return "".join(settled) + self._spelt(path)
+
+    @staticmethod
+    def _spelt(path: tuple) -> str:
         parts = []
         while path:
             path, string = path
@@ -152,7 +166,7 @@ class Channel:
         found = []
         for match in _SUSPECT.finditer(text):
             token = match.group().strip(".,;:?\"*%&#")
-            if 1 < len(token) <= 64 and (restored := self.restore(token)) != token:
+            if len(token) > 1 and (restored := self.restore(token)) != token:
                 found.append(restored)
         return " ".join(found)
 
@@ -169,7 +183,13 @@ def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(doc), (np.concatenate(feature) & np.uint64((1 << FEATURE_BITS) - 1)).astype(np.int64)
 
 
-_HINT = re.compile(rb"[a-z\x80-\xff][0-9@$!|+(<.\-_*~'^#=/\\]+[a-z\x80-\xff]|[0-9@$|+(<][a-z]|([a-z])\1\1|(?:^|\s)[a-z][ .\-_*~'^#=/\\][a-z][ .\-_*~'^#=/\\]")
+#: Found in every lower-cased text, as bytes, that has a suspect token; € and £ have several bytes.
+_HINT = re.compile(
+    rb"[a-z\x80-\xff](?:[0-9@$!|+(<.\-_*~'^#=/\\]|\xe2\x82\xac|\xc2\xa3)+[a-z\x80-\xff]"
+    rb"|(?:[0-9@$|+(<]|\xe2\x82\xac|\xc2\xa3)[a-z\x80-\xff]|([a-z])\1\1|([\x80-\xff]{2,4})\2\2"
+    rb"|(?:[ .\-_*~'^#=/\\](?:[a-z]|[\x80-\xff]{2,4})){2}[ .\-_*~'^#=/\\]"
+    rb"|[a-z\x80-\xff][^a-z\s\x1c-\x1f\x80-\xff0-9@$!|+(<]*+(?:[0-9@$!|+(<]|\xe2\x82\xac|\xc2\xa3)[^a-z\s\x1c-\x1f\x80-\xff]*+(?:[\s\x1c-\x1f\x80-\xff]|\Z)"
+)
 
 
 def readable(texts: list[bytes], channel: Channel) -> list[bytes]:

@@ -402,6 +402,30 @@ def test_restore(token, wanted):
     assert channel().restored_tokens(f"you {token} there").split() == [wanted]
 
 
+@pytest.mark.parametrize(("token", "wanted"), [("stu" + "u" * 70 + "pid", "stupid"), ("idio+", "idiot"), ("idi0+", "idiot"), ("moro|<", "moro"), ("th3", "the"), ("st£upid", "stupid"), ("idio7,", "idiot")])
+def test_restore_long_and_at_the_end(token, wanted):
+    assert channel().restored_tokens(f"you {token} there").split()[0].startswith(wanted)
+    low = f"you {token} there".encode()
+    assert toxicity.readable([low], channel())[0] != low
+
+
+def test_restore_spaced_sentence():
+    """No length is left out: a spaced sentence is decoded as a whole, and long junk takes linear time."""
+    c = channel()
+    text = " ".join("thestupididiotisamoronandthegoodpeople")
+    assert len(text) > 64 and c.restored_tokens(text).replace(" ", "") == text.replace(" ", "") and "idiot" in c.restored_tokens(text)
+    assert c.restored_tokens("st.upid" * 3000).startswith("stupidstupid")
+    assert c.restored_tokens("7" * 100000) == "" and c.restored_tokens("ab" * 50000) == ""
+
+
+def test_hint_is_a_superset():
+    r = random.Random(12)
+    parts = ["a", "b", "zz", "é", "É", "日", "€", "£", "$", "!", "3", "|<", ".", ",", " ", "\u00a0", "\x1c", "\n", "-", "_", "…", "(", ")", "²"]
+    for _ in range(40000):
+        low = "".join(r.choice(parts) for _ in range(r.randrange(1, 9))).encode().translate(textkit.LOWER)
+        assert toxicity._HINT.search(low) or not toxicity._SUSPECT.search(low.decode()), low
+
+
 def test_restore_leaves_words():
     assert channel().restored_tokens("the good people of the town, kind to all. 1995 a b") == ""
 
