@@ -12,7 +12,8 @@ documents,
 
 which is 1 when t occurs with e alone and 0 when both are independent. Every term that stands
 near e is rated, in however few texts e stands. Terms with a disclosure of THRESHOLD or more
-are generalised: their occurrences near e become spans of kind ``term``. ``sanitise`` replaces
+are generalised: all their occurrences, in whatever text and however far from e, become
+spans of kind ``term``. ``sanitise`` replaces
 base spans by their kind and these terms by a placeholder.
 
 Only DataFrame functions are used. Counting is by partial aggregation; contexts are rows, so
@@ -32,6 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .native import bounded
 from .textkit import stored, table
 
 CONTEXT = 80
@@ -49,6 +51,8 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"[\p{L}]{3,}"
+#: These cover a text, and no run of letters is in two of them.
+PIECE = r"(?s).{1,400}+[\p{L}]*+"
 
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
@@ -129,6 +133,10 @@ def _contexts(text: Column, spans: Column) -> Column:
     return F.transform(spans, side)
 
 
+def _vocabulary(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), 0)), F.lower))
+
+
 def _same(left: str, right: str) -> Column:
     return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.text_hash") == F.col(f"{right}.text_hash"))
 
@@ -150,7 +158,7 @@ def disclosing_terms(docs: DataFrame, nearby: DataFrame, threshold: float = THRE
     n_e = nearby.select("entity", "text_hash", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     wanted = stored(n_te.select("term").distinct(), "terms")
     # Lower-cased one by one, as the terms near an entity are: a letter may become two.
-    seen = docs.select(F.explode(F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), 0)), F.lower))).alias("term"))
+    seen = docs.select(F.explode(_vocabulary(F.col("text"))).alias("term"))
     # Summed before the join: each task sends a term once, and the join's size is the vocabulary's.
     n_t = stored(seen.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi"), "frequencies")
     total, n_pairs = docs.count(), n_te.count()
@@ -170,18 +178,30 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     sides = sides.select("doc_id", "text_hash", "base", "n.entity", F.explode("n.sides").alias("s"))
     words = sides.select("doc_id", "text_hash", "base", "entity", "s.at", F.explode(matches(F.col("s.part"), "term", TERM)).alias("m"))
     start, end = F.col("at") + F.col("m.start"), F.col("at") + F.col("m.end")
-    words = words.select("doc_id", "text_hash", "entity", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"), "base")
-    clear = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    words = stored(words.where(clear).drop("base"), "nearby")
 
-    rated = disclosing_terms(texts, words, threshold)
-    spans = words.join(rated, ["entity", "term"]).select("doc_id", "text_hash", "start", "end", "term").distinct()
+    def clear(start: Column, end: Column) -> Column:
+        return ~F.exists("base", lambda b: (b["start"] < end) & (b["end"] > start))
+
+    words = words.select("doc_id", "text_hash", "entity", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"), "base")
+    words = stored(words.where(clear(F.col("start"), F.col("end"))).select("doc_id", "text_hash", "entity", "term"), "nearby")
+
+    revealing = stored(disclosing_terms(texts, words, threshold).select("term").distinct(), "revealing")
+    n_revealing = revealing.count()
+    # Positions cost far more than presence, and few texts hold any of these terms.
+    holders = texts.select("doc_id", "text_hash", F.explode(_vocabulary(F.col("text"))).alias("term")).join(bounded(revealing, n_revealing), "term")
+    holders = stored(holders.select("doc_id", "text_hash").distinct(), "holders")
+    held = texts.alias("d").join(bounded(holders, holders.count()).alias("h"), _same("d", "h"), "left_semi")
+    pieces = held.select("doc_id", "text_hash", F.explode(matches(F.col("text"), "piece", PIECE)).alias("p"))
+    tokens = pieces.select("doc_id", "text_hash", F.col("p.start").alias("at"), F.explode(matches(F.col("p.value"), "term", TERM)).alias("m"))
+    tokens = tokens.select("doc_id", "text_hash", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"))
+    spans = tokens.join(bounded(revealing, n_revealing), "term")
     listed = spans.groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "term"))).alias("terms")
-    )  # bounded by the text: one entry for each word near its own entities
+        F.array_sort(F.collect_set(F.struct("start", "end", "term"))).alias("terms")
+    )  # bounded by the text: one entry for each of its words
     b, t = found.select("doc_id", "text_hash", "base").alias("b"), listed.alias("t")
     joined = b.join(t, _same("b", "t"), "left")
-    terms = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,term:string>>")), lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["term"].alias("value")))
+    terms = F.filter(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,term:string>>")), lambda x: clear(x["start"], x["end"]))
+    terms = F.transform(terms, lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["term"].alias("value")))
     return joined.select("b.doc_id", "b.text_hash", "base", terms.alias("terms"))
 
 

@@ -185,6 +185,17 @@ def test_single_text_entities_have_terms(spark):
     assert got == {i: [t.split()[1].lower()] if "@" in t else [] for i, t in items}
 
 
+def test_terms_are_marked_everywhere(spark):
+    """A disclosing term goes far from its entity too, and where the entity is not written, but not inside a base span."""
+    far = "word " * 300
+    items = [(1, f"Quorvath a@b.c {far}QUORVATH, é🙂 quorvath quorvath@x.yz {far}end quorvath"), (2, f"{far}quorvath"), (None, "quorvath")]
+    items += [(i, f"a@b.c Quorvath {far}") for i in range(10, 20)] + [(i, "word of nothing end xyz") for i in range(100, 1200)]
+    clean = {x.doc_id: x.text for x in pii.sanitise(frame(spark, items)).collect()}
+    assert clean[1] == f"[TERM] [EMAIL] {far}[TERM], é🙂 [TERM] [EMAIL] {far}end [TERM]"
+    assert (clean[2], clean[None], clean[10]) == (f"{far}[TERM]", "[TERM]", f"[EMAIL] [TERM] {far}")
+    assert clean[100] == "word of nothing end xyz"
+
+
 def test_counts_of_frequent_and_rare_keys(spark):
     pairs = spark.range(5000).select(F.when(F.col("id") < 2000, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
     counts = pairs.groupBy("k").agg(F.count("*").alias("n"))
