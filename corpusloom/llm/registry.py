@@ -35,7 +35,6 @@ def queries() -> dict[str, Callable]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_minhash_neardup": neardup.ORACLE_SQL,
-        "op6_weak_label_quality": op6_weak_label_quality,
         "op2_license_scan": license_scan.oracle(),
         "op7_decontamination": decontamination.ORACLE_SQL,
     }

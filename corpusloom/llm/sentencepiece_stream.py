@@ -1,10 +1,10 @@
 """Streaming Viterbi encoding and decoding for SentencePiece models.
 
 The lattice of a text has a node at each character boundary and an arc for each vocabulary
-piece; a character that no piece covers takes its byte pieces. One pass keeps, for each of
-the last L boundaries (L: the longest piece), a surviving backpointer, and commits ids as
-soon as all surviving paths go through one boundary, so memory is bounded by L and the
-longest stretch without convergence, not by the text.
+piece; a character that no piece covers takes its byte pieces. One pass keeps a surviving
+backpointer for each boundary of a window and commits ids as soon as all surviving paths go
+through one boundary, so memory is bounded by the longest piece and the longest stretch
+without convergence, not by the text.
 
 Survivors are chosen by the model's type:
 
@@ -14,9 +14,10 @@ Survivors are chosen by the model's type:
   ``s + t`` gives back s, t; so each boundary has one survivor and no scores are added.
   (Adding BPE scores, which are ranks, would not give the model's own ids.)
 
-Where no piece of the model goes over a border (a word mark, the end of a run of letters),
-every path converges there; the committed ids of such a stretch depend on the stretch alone and are remembered in a bounded
-table. Decoding concatenates pieces and bytes and takes off the leading mark.
+A boundary is alive while a longer piece may still begin there, so the window is seldom longer
+than a word. What a window becomes by its next character depends on it alone: such steps, and
+the words that lead from a lone word mark to a lone word mark, are remembered in bounded
+tables. Decoding concatenates pieces and bytes and takes off the leading mark.
 
 The model is read from a path that every executor sees; it's a parameter.
 
@@ -28,7 +29,6 @@ repeated rows give equal results; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -42,15 +42,33 @@ from .textkit import small_batches, table
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
-_MEMORY = 300_000
-_PAIRS = 600_000
-# Ways to cut a text into stretches: before a word mark, and (finer) after a letter or digit
-# that another sign follows. A model uses the finest that none of its pieces goes over.
-_OTHER = rf"(?:[_²]|[^\w{MARK}])"
-_CUTS = (
-    re.compile(rf"{MARK}+{_OTHER}*[^\W_²]*|{_OTHER}+[^\W_²]*|[^\W_²]+"),
-    re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+"),
-)
+#: Remembered steps between windows, words and pairs of pieces; beyond it they are dropped.
+_STEPS = 600_000
+_WORDS = 300_000
+_PAIRS = 300_000
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+class _Window(dict):
+    """The characters since the last commitment with their survivors; by the next character,
+    the window after it and the ids that it commits. Steps are computed when first taken."""
+
+    __slots__ = ("alive", "codec", "held", "known")
+
+    def __init__(self, codec: Codec, held: str, known: tuple, alive: tuple[int, ...]):
+        self.codec, self.held, self.known, self.alive = codec, held, known, alive
+
+    def __missing__(self, char: str) -> tuple[_Window, bytes]:
+        codec = self.codec
+        if codec._steps >= _STEPS:
+            codec._forget()
+        codec._steps += 1
+        *window, ids = codec._advance(self.held + char, self.known, self.alive)
+        step = self[char] = (codec._state(*window), _packed(ids))
+        return step
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -82,6 +100,30 @@ def _message(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+class _Words(dict):
+    """By a word, the ids that it and the mark after it commit, from the window of a lone mark;
+    None where that isn't the window again afterwards."""
+
+    __slots__ = ("codec",)
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+
+    def __missing__(self, word: str) -> bytes | None:
+        state, found = self.codec._mark, b""
+        for char in word:
+            state, ids = state[char]
+            if ids:
+                found += ids
+        state, ids = state[MARK]
+        found = found + ids if state is self.codec._mark else None
+        if len(word) <= 64:
+            if len(self) >= _WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Codec:
     """Encoder and decoder of one model file."""
 
@@ -99,7 +141,12 @@ class Codec:
             elif field == 2:
                 self.kind = dict(_message(value)).get(3, UNIGRAM)
             elif field == 3:
-                self.dummy_prefix = bool(dict(_message(value)).get(3, 1))
+                norm = dict(_message(value))
+                self.dummy_prefix = bool(norm.get(3, 1))
+                if norm.get(2) or norm.get(4):
+                    raise ValueError("models that rewrite characters or drop blanks are not supported")
+        if self.kind not in (UNIGRAM, BPE):
+            raise ValueError("only unigram and BPE models are supported")
         self.ids = {p: i for i, (p, t) in enumerate(zip(self.pieces, types, strict=True)) if t in (1, 4)}
         self.unknown = types.index(2) if 2 in types else 0
         self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, types, strict=True)) if t == 6}
@@ -109,9 +156,12 @@ class Codec:
         self.rank = [-x for x in self.scores]
         self._halves: dict[int, tuple[int, int]] = {}
         self._pairs: dict[int, bool] = {}
-        self._memory: dict[str, tuple[int, ...]] = {}
-        #: At the border of two stretches all paths meet.
-        self.cut = next((c for c in _CUTS if all(len(c.findall(p)) == 1 for p in self.ids)), None)
+        #: Proper beginnings of pieces, and the pairs of characters that stand in a row in one.
+        self._beginnings = {p[:n] for p in self.ids for n in range(1, len(p))}
+        self._inside = {p[n : n + 2] for p in self.ids for n in range(len(p) - 1)}
+        self._windows: dict[tuple, _Window] = {}
+        self._words = _Words(self)
+        self._forget()
         self._plain = [chr(self._byte_of[i]) if self._byte_of.get(i, 128) < 128 else p for i, p in enumerate(self.pieces)]
         self._high = {i for i, b in self._byte_of.items() if b >= 128}
 
@@ -177,74 +227,84 @@ class Codec:
         found = [self.bytes.get(b) for b in piece.encode("utf-8", "surrogatepass")]
         return [self.unknown] if None in found else found
 
-    def _arcs(self, held: str, known: list[tuple[int, int, float]], end: int) -> tuple[int, int, float]:
-        """The survivor at boundary ``end``: (start, piece or -1, score)."""
-        ids, low = self.ids, max(0, end - self.longest)
+    def _cost(self, piece: int) -> float:
+        return self.scores[piece] if piece >= 0 else self._lowest - 10.0
+
+    def _advance(self, held: str, known: tuple, alive: tuple[int, ...]) -> tuple[str, tuple, tuple[int, ...], list[int]]:
+        """The window after its last character came: (held, known, alive, committed ids).
+
+        ``held`` has the characters since the last commitment, that one included; ``known`` the
+        survivor (start, piece or -1, score) at each boundary before it, and ``alive`` the
+        boundaries at which a piece may still begin that ends here or later.
+        """
+        ids, end = self.ids, len(held)
+        best = None
         if self.kind == BPE:
-            for start in range(low, end):
-                piece = ids.get(held[start:end])
+            for start in alive:
+                piece = ids.get(held[start:])
                 if piece is not None:
                     before = known[start][1]
                     if (before < 0 or self.stands(before, piece)) and (end - start == 1 or self.halves(piece)[0] >= 0):
-                        return start, piece, 0.0
-            return end - 1, -1, 0.0
-        best = (end - 1, -1, known[end - 1][2] + self._lowest - 10.0)
-        for start in range(low, end):
-            piece = ids.get(held[start:end])
-            if piece is not None and known[start][2] + self.scores[piece] > best[2]:
-                best = (start, piece, known[start][2] + self.scores[piece])
-        return best
-
-    def _survivors(self, text: str) -> list[tuple[int, int, float]]:
-        """``_arcs`` for every boundary of a BPE stretch, in one loop."""
-        get, pairs, halves, longest = self.ids.get, self._pairs, self._halves, self.longest
-        last, known = [-1], [(0, -1, 0.0)]
-        for end in range(1, len(text) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                piece = get(text[start:end])
-                if piece is None:
-                    continue
-                before = last[start]
-                if before >= 0:
-                    ok = pairs.get(before << 20 | piece)
-                    if not (self.stands(before, piece) if ok is None else ok):
-                        continue
-                if start == end - 1 or (halves.get(piece) or self.halves(piece))[0] >= 0:
-                    last.append(piece)
-                    known.append((start, piece, 0.0))
-                    break
+                        best = (start, piece, 0.0)
+                        break
+            best = best or (end - 1, -1, 0.0)
+        else:
+            best = (end - 1, -1, known[end - 1][2] + self._lowest - 10.0)
+            for start in alive:
+                piece = ids.get(held[start:])
+                if piece is not None and known[start][2] + self.scores[piece] > best[2]:
+                    best = (start, piece, known[start][2] + self.scores[piece])
+        known = (*known, best)
+        alive = (*(b for b in alive if held[b:] in self._beginnings), end)
+        # Every later arc starts at one of these boundaries: where the paths behind them meet,
+        # nothing that follows can change what stands before.
+        paths, used = set(alive), set(alive)
+        while len(paths) > 1:
+            top = max(paths)
+            paths.remove(top)
+            paths.add(known[top][0])
+            used.add(known[top][0])
+        (meet,) = paths
+        committed = self._walk(held, known, meet)
+        before = known[meet][1]
+        if meet < end and before >= 0 and (meet not in alive or self.pieces[before][-1] + held[meet] not in self._inside):
+            before = -1  # no piece begins there any more, or nothing could join across
+        moved: list[tuple[int, int, float] | None] = [(0, before, 0.0)]
+        for b in range(meet + 1, end + 1):
+            if b in used:
+                start, piece, _ = known[b]
+                score = 0.0 if self.kind == BPE else moved[start - meet][2] + self._cost(piece)
+                moved.append((start - meet, piece, score))
             else:
-                last.append(-1)
-                known.append((end - 1, -1, 0.0))
-        return known
+                moved.append(None)  # on no surviving path
+        return held[meet:], tuple(moved), tuple(b - meet for b in alive), committed
+
+    def _state(self, held: str, known: tuple, alive: tuple[int, ...]) -> _Window:
+        key = (held, known)
+        state = self._windows.get(key)
+        if state is None:
+            state = self._windows[key] = _Window(self, held, known, alive)
+        return state
+
+    def _forget(self) -> None:
+        """Bound the remembered steps; windows in use stay valid."""
+        for state in self._windows.values():
+            state.clear()
+        self._windows.clear()
+        self._steps = 0
+        self._start = self._state("", ((0, -1, 0.0),), (0,))
+        #: The window that holds a word mark and nothing before it.
+        self._mark = self._state(MARK, ((0, -1, 0.0), (0, self.ids.get(MARK, -1), 0.0)), (0, 1))
 
     def stream(self, chars: Iterable[str]) -> Iterator[list[int]]:
         """Ids of a stream of characters, committed as soon as all surviving paths agree.
-
-        ``held`` has the characters since the last commitment and ``known`` the survivor at
-        each boundary of them.
-        """
-        held, known = "", [(0, -1, 0.0)]
+        What is held is one window, whatever the stream's length."""
+        state = self._start
         for char in chars:
-            held += char
-            end = len(held)
-            known.append(self._arcs(held, known, end))
-            # Every later arc starts at one of the last ``longest`` boundaries; where the paths
-            # behind those meet, nothing that follows can change what stands before.
-            if end >= 2 * self.longest:
-                alive = set(range(end - self.longest + 1, end + 1))
-                while len(alive) > 1:
-                    top = max(alive)
-                    alive.remove(top)
-                    alive.add(known[top][0])
-                (meet,) = alive
-                if meet:
-                    yield self._walk(held, known, meet)
-                    held = held[meet:]
-                    base = known[meet][2]
-                    known = [(0, known[meet][1], 0.0)] + [(s - meet, p, x - base) for s, p, x in known[meet + 1 :]]
-        if held:
-            yield self._walk(held, known, len(held))
+            state, ids = state[char]
+            if ids:
+                yield np.frombuffer(ids, "<i4").tolist()
+        yield self._walk(state.held, state.known, len(state.held))
 
     def _walk(self, held: str, known: list[tuple[int, int, float]], end: int) -> list[int]:
         out: list[list[int]] = []
@@ -254,38 +314,43 @@ class Codec:
             end = start
         return [i for ids in reversed(out) for i in ids]
 
-    def _stretch(self, text: str) -> tuple[int, ...]:
-        ids = self._memory.get(text)
-        if ids is None:
-            if len(text) < 2 * self.longest:  # no commitment comes before the end
-                if self.kind == BPE:
-                    known = self._survivors(text)
-                else:
-                    known = [(0, -1, 0.0)]
-                    for end in range(1, len(text) + 1):
-                        known.append(self._arcs(text, known, end))
-                ids = tuple(self._walk(text, known, len(text)))
-            else:
-                ids = tuple(i for part in self.stream(text) for i in part)
-            if len(text) <= 64:
-                if len(self._memory) >= _MEMORY:
-                    self._memory.clear()
-                self._memory[text] = ids
-        return ids
+    def encode_array(self, text: str) -> np.ndarray:
+        """The ids of a whole text, as ``stream`` commits them.
 
-    def encode(self, text: str) -> list[int]:
+        The stream goes by characters; a word that takes the window from a lone word mark to
+        a lone word mark goes in one remembered step.
+        """
         if not text:
-            return []
-        text = text.replace(" ", MARK)
+            return np.empty(0, np.int32)
+        words = text.replace(MARK, " ").split(" ")
+        last = words.pop()
+        state, out = self._start, []
         if self.dummy_prefix:
-            text = MARK + text
-        if self.cut is None:
-            return [i for part in self.stream(text) for i in part]
-        out: list[int] = []
-        memory, add = self._memory, out.extend
-        for stretch in self.cut.findall(text):
-            add(memory.get(stretch) or self._stretch(stretch))
-        return out
+            state, ids = state[MARK]
+            out.append(ids)
+        if state is self._mark:
+            out += map(self._words.__getitem__, words)
+            if None in out:
+                out = out[: out.index(None)]
+                words = words[len(out) - 1 :]
+            else:
+                words = []
+        add = out.append
+        for word in words:
+            if state is self._mark and (ids := self._words[word]) is not None:
+                add(ids)
+                continue
+            for char in word + MARK:
+                state, ids = state[char]
+                add(ids)
+        for char in last:
+            state, ids = state[char]
+            add(ids)
+        add(_packed(self._walk(state.held, state.known, len(state.held))))
+        return np.frombuffer(b"".join(out), "<i4")
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_array(text).tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         ids = list(ids)
@@ -326,9 +391,9 @@ def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
             ids: list[np.ndarray] = []
             same = []
             for text in texts:
-                found = c.encode(text or "")
-                same.append(c.decode(found) == (text or "").replace(MARK, " "))
-                ids.append(np.array(found, dtype=np.int32))
+                found = c.encode_array(text or "")
+                same.append(c.decode(found.tolist()) == (text or "").replace(MARK, " "))
+                ids.append(found)
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))

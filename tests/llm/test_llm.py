@@ -462,3 +462,25 @@ def test_toxicity(spark):
     none = toxicity.train(docs, marks.limit(0))
     assert {round(x.score, 6) for x in toxicity.score(docs, none).collect()} == {0.0}
     assert toxicity.score(frame(spark, EMPTY), none).count() == 0
+
+
+def test_registered_sql_is_text():
+    from corpusloom.llm import registry
+
+    assert set(registry.oracle_sql()) <= set(registry.queries()) and all(isinstance(x, str) for x in registry.oracle_sql().values())
+
+
+def test_windows_are_bounded(spark, monkeypatch):
+    """Committed parts add up to the model's ids when the tables of steps are dropped all the time, and one window is held."""
+    sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepiece_stream.DEFAULT_MODEL)
+    monkeypatch.setattr(sentencepiece_stream, "_STEPS", 50)
+    monkeypatch.setattr(sentencepiece_stream, "_WORDS", 7)
+    with open(sentencepiece_stream.DEFAULT_MODEL, "rb") as f:
+        codec = sentencepiece_stream.Codec(f.read())
+    r = random.Random(6)
+    for _ in range(60):
+        text = "".join(r.choice(["a", "the", "ing", " ", "  ", "\n", "é", "日", "!!", "▁", "x", "re"]) for _ in range(r.randrange(0, 80)))
+        assert codec.encode(text) == sp.encode(text), text
+    assert max(len(w.held) for w in codec._windows.values()) <= 2 * codec.longest
+    parts = list(codec.stream("▁" + "banana▁bread▁" * 50))
+    assert len(parts) > 50 and sum(parts, []) == sp.encode("banana bread " * 50)
