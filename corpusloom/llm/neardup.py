@@ -1,6 +1,7 @@
 """MinHash near-duplicates by a multi-index Hamming join over b-bit signatures.
 
-A document's set is its distinct 2-word shingles. A signature holds SYMBOLS minimum hashes
+A document's set is its distinct shingles of ``width`` words (five unless told otherwise; two
+in ``op1_minhash_neardup``). A signature holds SYMBOLS minimum hashes
 cut to 16 bits each and is split into CHUNKS chunks. By the pigeonhole principle, two
 signatures that differ in at most ``CHUNKS * (CHUNK_ERRORS + 1) - 1`` symbols agree, in some
 chunk, in all but CHUNK_ERRORS symbols; so each signature is indexed under every chunk with
@@ -17,9 +18,12 @@ Candidates are confirmed on full shingle sets, so a reported link is exact:
     pairs across components. Only pairs that pass exact bounds leave that search, and none
     within a component, so a large group of copies gives no square of pairs.
 
-Edge cases: null or blank texts have no shingles and are linked with nothing; one word is
-one shingle; repeated rows share a class; rows with one doc_id are one node; an empty table
-gives no rows; other columns are ignored.
+Nodes of the link graph are classes of equal sets, numbered as they are written, so ids may be
+null or repeat: a component's id is the smallest doc_id of its rows, and null if none has one.
+
+Edge cases: null or blank texts have no shingles and are linked with nothing; fewer words than
+``width`` are one shingle; repeated rows share a class; texts under one doc_id are told apart;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .native import bounded
 from .textkit import LOWER, Words, discard, groups, mix64, small_batches, stored, table, utf8_list
 
 CHUNKS, CHUNK_SYMBOLS, CHUNK_ERRORS = 8, 5, 1
@@ -40,13 +45,15 @@ GUARANTEED_DISTANCE = CHUNKS * (CHUNK_ERRORS + 1) - 1
 #: Candidates may differ in so many symbols; at similarity 0.8 one in 100,000 pairs differs in more.
 MAX_DISTANCE = 20
 BITMAP_BYTES = 256
+#: Words in a shingle.
+WIDTH = 5
 BLOCK = 1024
 
 _LEFT, _RIGHT, _ALONE = np.uint64(0x9DDFEA08EB382D69), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _SYMBOL_FACTORS = mix64(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def shingle_sets(texts: list[bytes], width: int = 2) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle hash) of every distinct shingle, by document, then by hash."""
     words = Words([t.translate(LOWER) for t in texts])
     h = words.hashes()
@@ -129,12 +136,13 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
-def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n, h1, h2, sig of each document; those without shingles have n = 0 and no rest."""
+def _sketch(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, text_hash, n, h1, h2, sig of each document; those without shingles have n = 0
+    and no rest."""
     for batch in batches:
-        texts = utf8_list(batch.column(1))
+        texts = utf8_list(batch.column(2))
         for begin, end in groups(texts):
-            doc, shingles = shingle_sets(texts[begin:end])
+            doc, shingles = shingle_sets(texts[begin:end], width)
             count = np.bincount(doc, minlength=end - begin)
             full = np.flatnonzero(count)
             first = np.concatenate([[0], np.cumsum(count[full])[:-1]]).astype(np.int64) if full.size else np.empty(0, np.int64)
@@ -146,8 +154,11 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i, row in zip(full, signatures(shingles, first), strict=True):
                     sig[i] = row.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(begin, end - begin), pa.array(count.astype(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(sig, pa.binary())],
-                names=["doc_id", "n", "h1", "h2", "sig"],
+                [
+                    *(batch.column(c).slice(begin, end - begin) for c in (0, 1)),
+                    pa.array(count.astype(np.int64)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(sig, pa.binary()),
+                ],
+                names=["doc_id", "text_hash", "n", "h1", "h2", "sig"],
             )
 
 
@@ -158,11 +169,11 @@ def _emit_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys).reshape(-1)), pa.array(reps)], names=["key", "rep"])
 
 
-def _full_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _full_sets(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = utf8_list(batch.column(1))
         for begin, end in groups(texts):
-            doc, shingles = shingle_sets(texts[begin:end])
+            doc, shingles = shingle_sets(texts[begin:end], width)
             ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=end - begin))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), lists, _binary(bitmaps(doc, shingles, end - begin))], names=["rep", "shingles", "bitmap"])
@@ -230,23 +241,33 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where("100L * common >= 80L * (size(set_a) + size(set_b) - common)").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, text_hash, group for every row of ``docs``.
+
+    ``text_hash`` is xxhash64 of the text (null: empty) and tells texts under one doc_id apart;
+    ``group`` numbers the components and is null without shingles. ``kept`` is
+    ``doc_id = component_id``, null-safe.
+    """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    sketch = stored(docs.mapInArrow(_sketch, "doc_id long, n long, h1 long, h2 long, sig binary"), "sketch")
-    classes = sketch.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    classes = stored(classes, "classes")
-    facts = classes.groupBy("rep").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    sketch = stored(docs.mapInArrow(lambda x: _sketch(x, width), "doc_id long, text_hash long, n long, h1 long, h2 long, sig binary"), "sketch")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    classes = sketch.where("n > 0").groupBy("h1", "h2").agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"))
+    # Numbers are fixed by writing them.
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    facts = classes.select("rep", "n", "sig")
 
     keys = classes.select("rep", "sig").mapInArrow(_emit_keys, "key long, rep long")
     shared = keys.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last")
     buckets = stored(keys.join(shared, "key").select("key", "rep", "centre", "members"), "buckets")
 
-    involved = buckets.select("rep").distinct()
-    first_text = docs.join(involved, docs.doc_id == involved.rep, "left_semi").dropDuplicates(["doc_id"])
-    sets = stored(first_text.mapInArrow(_full_sets, "rep long, shingles array<long>, bitmap binary"), "sets")
+    involved = classes.join(buckets.select("rep").distinct(), "rep", "left_semi").select("rep", "first")
+    d, c = docs.alias("d"), involved.alias("c")
+    one = F.col("d.doc_id").eqNullSafe(F.col("c.first.doc_id")) & (F.col("d.text_hash") == F.col("c.first.text_hash"))
+    # A row that repeats meets its class more than once.
+    first_text = d.join(c, one).select("rep", "text").dropDuplicates(["rep"])
+    sets = stored(first_text.mapInArrow(lambda x: _full_sets(x, width), "rep long, shingles array<long>, bitmap binary"), "sets")
     facts = stored(sets.join(facts, "rep").select("rep", "n", "sig", "bitmap"), "facts")
 
     def named(side: str) -> DataFrame:
@@ -278,16 +299,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     else:
         component = connected_components(links.unionByName(more))
 
-    owner = classes.select("h1", "h2", "rep")
-    own = sketch.select("doc_id", "n", "h1", "h2").join(owner, ["h1", "h2"], "left")
-    joined = own.join(component, F.when(F.col("n") > 0, F.col("rep")) == F.col("node"), "left")
-    component_id = F.when(F.col("n") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
-    out = joined.select("doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # A class without links is its own component.
+    owner = classes.join(component, classes.rep == component.node, "left").select("h1", "h2", "first.doc_id", F.coalesce("component", "rep").alias("group"))
+    owner = stored(owner, "owners")
+    lowest = owner.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    owner = owner.drop("doc_id").join(lowest, "group")
+    out = sketch.join(owner, ["h1", "h2"], "left")
+    has = F.col("n") > 0
+    out = out.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(has, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_hash", F.when(has, F.col("group")).alias("group"),
+    )
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash", "group")
+
+
+def deduplicate(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (a null one last),
+    of those the one with the smallest text hash. Of rows with one id and text one stays, an
+    arbitrary one where their other columns differ. Texts without words all stay, but for such
+    repeats."""
+    rows = stored(near_duplicates(docs, width).select("doc_id", "text_hash", "group"), "groups")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    rows = rows.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    best = rows.where("group is not null").groupBy("group").agg(F.min_by(F.struct("doc_id", "text_hash", "copies"), key).alias("w")).select("w.*")
+    winners = stored(best.unionByName(rows.where("group is null").select("doc_id", "text_hash", "copies")), "winners")
+
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    inner = docs.toDF(*names)
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    inner = inner.withColumn("text_hash", F.xxhash64(F.coalesce(text, F.lit("")))).alias("d")
+
+    def those(keys: DataFrame) -> DataFrame:
+        return inner.join(keys.alias("w"), doc_id.cast("long").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_hash") == F.col("w.text_hash")), "left_semi")
+
+    repeated = winners.where("copies > 1")
+    n_repeated = repeated.count()
+    out = those(winners.where("copies = 1"))
+    if n_repeated:
+        id_column = names[docs.columns.index("doc_id")]
+        out = out.unionByName(those(bounded(repeated, n_repeated)).dropDuplicates([id_column, "text_hash"]))
+    return out.select(*names).toDF(*docs.columns)
 
 
 def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), 2).drop("text_hash", "group")
 
 
 #: Every pair that shares a shingle is compared: right, and quadratic, so for small tables only.

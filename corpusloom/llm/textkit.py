@@ -6,6 +6,7 @@ prefix-sum polynomial, so that no Python code runs per word.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -111,11 +112,15 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, which all executors and the driver share."""
+    """The folder named in spark.checkpoint.dir, which all executors and the driver share.
+
+    Only a local session, whose driver is its executor, may leave it unset.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = "/tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = f"{tempfile.gettempdir()}/checkpoints"
     return folder.rstrip("/")
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, license_scan, media, neardup, pii, quality, sentencepiece_stream, sharding, textkit, token_counts, toxicity
+from corpusloom.llm import components, decontamination, license_scan, media, neardup, pii, quality, sentencepiece_stream, sharding, textkit, token_counts, toxicity
 
 #: Names that the operators use inside, as columns of the input.
 CLASHES = {"rep": "long", "key": "long", "text_hash": "long", "n": "long", "score": "double", "ids": "string", "label": "string", "bucket": "int", "term": "string", "base": "string", "h1": "string", "weak_posterior": "double", "draw": "double"}
@@ -50,11 +50,11 @@ def corpus(seed=1, n=40):
 EMPTY: list = []
 
 
-def links(items):
+def links(items, width=2):
     sets = {}
     for i, t in items:
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
-        sets[i] = {tuple(w[k : k + 2]) for k in range(len(w) - 1)} if len(w) > 1 else {tuple(w)} if w else set()
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
     root = {i: i for i in sets}
 
     def find(x):
@@ -74,12 +74,65 @@ def links(items):
 def test_neardup(spark, seed):
     items = corpus(seed)
     wanted = links(items)
-    got = neardup.near_duplicates(frame(spark, items)).collect()
+    got = neardup.near_duplicates(frame(spark, items), 2).collect()
     assert len(got) == len(items)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == wanted
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_neardup_five_words(spark):
+    items = corpus(4) + [(60, "a b c d"), (61, "A b c d"), (62, "a b c")]
+    got = neardup.near_duplicates(frame(spark, items)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == links(items, 5)
+
+
+def test_neardup_odd_ids(spark):
+    """Ids may be null or repeat: rows are told apart by their texts, and no link is lost."""
+    r, words = random.Random(21), vocabulary(21)
+    a, b, c = (" ".join(r.choice(words) for _ in range(80)) for _ in range(3))
+    items = [(1, c), (1, a), (7, a + " one"), (None, b), (None, b + " two too"), (None, a + " three"), (None, None), (None, ""), (2, None), (7, a + " one")]
+    got = neardup.near_duplicates(frame(spark, items), 2).collect()
+    by = {(x.doc_id, x.n_shingles): x.component_id for x in got}
+    n = {t: len({tuple(t.split()[k : k + 2]) for k in range(len(t.split()) - 1)}) for t in (a, b, c, a + " one", a + " three", b + " two too")}
+    assert len(got) == len(items) and by[7, n[a + " one"]] == by[None, n[a + " three"]] == by[1, n[a]] == 1
+    assert by[None, n[b]] is None and by[None, n[b + " two too"]] is None and by[2, 0] == 2 and by[None, 0] is None
+    df = frame(spark, items)
+    kept = neardup.deduplicate(df, 2)
+    assert kept.columns == df.columns
+    rows = sorted(((x.doc_id or 0, x.text or "") for x in kept.collect()))
+    wanted = sorted([(1, c), (1, a), (2, ""), (0, "")])
+    assert [x for x in rows if not x[1].startswith(b)] == wanted
+    assert [x[1] for x in rows if x[1].startswith(b)] in ([b], [b + " two too"])
+    assert neardup.deduplicate(frame(spark, EMPTY)).count() == 0
+
+
+def test_components(spark):
+    """A chain in ascending order and a star need few rounds; any graph's labels are right."""
+    r = random.Random(2)
+    graphs = [[(i, i + 1) for i in range(1000)], [(500, i) for i in range(500)], [(i, 999 - i) for i in range(1000)] + [(5, 6)], [(r.randrange(400), r.randrange(400)) for _ in range(300)], []]
+    for edges in graphs:
+        root = {}
+
+        def find(x, root=root):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            if a != b:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+        rounds = []
+        stored = components.stored
+        components.stored = lambda df, name, rounds=rounds, stored=stored: (rounds.append(name), stored(df, name))[1]
+        try:
+            got = {x.node: x.component for x in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        finally:
+            components.stored = stored
+        assert got == {x: find(x) for x in root}
+        assert rounds.count("edges") <= 6 and rounds.count("step") <= 16
+
+
 def test_neardup_one_large_group(spark):
     """Many near copies of one text: no link is lost and no square of pairs is needed."""
     r, words = random.Random(5), vocabulary(5)
@@ -90,7 +143,7 @@ def test_neardup_one_large_group(spark):
         for _ in range(r.randrange(0, 7)):
             w[r.randrange(60)] = r.choice(words)
         items.append((i, " ".join(w)))
-    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(frame(spark, items)).collect()}
+    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(frame(spark, items), 2).collect()}
     assert got == {i: c for i, (_, c) in links(items).items()}
 
 
