@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.decontamination import contamination
-from corpusloom.llm.neardup import near_duplicates
+from corpusloom.llm.neardup import deduplicate
 from corpusloom.llm.pii import sanitise
 from corpusloom.llm.quality import reject
 from corpusloom.llm.sentencepiece_stream import encode_documents
@@ -28,9 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest doc_id stays."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.kept_id), "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of documents linked by five-word shingles, one stays."""
+    return deduplicate(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
