@@ -51,14 +51,35 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9]){12,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"[\p{L}]{3,}"
+#: Stands for the letters of e-mail addresses; a word of a text that has it is no term.
+MASK = "\ua7fa"
+#: Characters in a piece that sides are taken from; more than CONTEXT.
+PIECE_SIZE = 1024
+#: Items whose positions are summed in one array.
+BLOCK = 256
 #: These cover a text, and no run of letters is in two of them.
 PIECE = r"(?s).{1,400}+[\p{L}]*+"
 
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(items: Column) -> Column:
+    """An array in blocks of BLOCK items, one at least."""
+    last = F.greatest(F.floor((F.size(items) - 1) / BLOCK).cast("int"), F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * BLOCK + 1, BLOCK))
+
+
 def matches(text: Column, kind: str, pattern: str) -> Column:
-    """All matches with their positions."""
+    """All matches with their positions.
+
+    Positions are summed block by block: appending copies an array, so one array for all
+    matches of a long text would take quadratic time.
+    """
     pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("value"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -67,8 +88,15 @@ def matches(text: Column, kind: str, pattern: str) -> Column:
         found = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.when(x["value"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], found)).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    def within(at: Column, items: Column) -> Column:
+        return F.aggregate(items, F.struct(at.alias("at"), F.array().cast(_SPAN).alias("out")), step)
+
+    def block(acc: Column, items: Column) -> Column:
+        return _bind(within(acc["at"], items), lambda q: F.struct(q["at"].alias("at"), F.array_append(acc["parts"], q["out"]).alias("parts")))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("parts"))
+    many = lambda p: F.flatten(F.aggregate(_blocks(p), zero, block, lambda acc: acc["parts"]))
+    return _bind(pairs, lambda p: F.when(F.size(p) <= BLOCK, within(F.lit(0), p)["out"]).otherwise(many(p)))
 
 
 def _digits(value: Column) -> Column:
@@ -113,24 +141,37 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def masked(text: Column) -> Column:
+    """The text with the letters of its e-mail addresses, the only base spans that have any,
+    replaced by MASK: a word that shares a letter with a base span has a MASK in it."""
+    pairs = F.arrays_zip(F.split(text, EMAIL, -1).alias("gap"), F.regexp_extract_all(text, F.lit(EMAIL), 0).alias("value"))
+    hidden = F.transform(pairs, lambda x: F.concat(x["gap"], F.regexp_replace(F.coalesce(x["value"], F.lit("")), r"\p{L}", MASK)))
+    return F.when(F.contains(text, F.lit("@")), F.array_join(hidden, "")).otherwise(text)
+
+
 def _contexts(text: Column, spans: Column) -> Column:
-    """For each span its entity and the text on either side, without words that are cut."""
+    """For each span its entity and the distinct words of the (masked) text on either side,
+    without words that are cut or share a letter with a base span.
+
+    Sides are taken from pieces of the text, as a substring costs what stands before it.
+    """
 
-    def side(x: Column) -> Column:
+    def part(pieces: Column, begin: Column, length: Column) -> Column:
+        k = F.floor(begin / PIECE_SIZE).cast("int")
+        return F.concat(F.get(pieces, k), F.coalesce(F.get(pieces, k + 1), F.lit(""))).substr(begin - k * PIECE_SIZE + 1, length)
+
+    def near(pieces: Column, x: Column) -> Column:
         begin = F.greatest(x["start"] - CONTEXT, F.lit(0))
-        left = text.substr(begin + 1, x["start"] - begin)
+        left = F.coalesce(part(pieces, begin, x["start"] - begin), F.lit(""))
         cut = F.when(begin > 0, F.regexp_replace(left, r"^\S+", "")).otherwise(left)
-        right = text.substr(x["end"] + 1, F.lit(CONTEXT))
+        right = F.coalesce(part(pieces, x["end"], F.lit(CONTEXT)), F.lit(""))
         whole = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"\S+$", "")).otherwise(right)
-        return F.struct(
-            F.concat_ws(":", x["kind"], F.lower(x["value"])).alias("entity"),
-            F.array(
-                F.struct((x["start"] - F.length(cut)).alias("at"), cut.alias("part")),
-                F.struct(x["end"].alias("at"), whole.alias("part")),
-            ).alias("sides"),
-        )
+        both = F.concat(cut, F.lit(" | "), whole)
+        clear = F.filter(F.regexp_extract_all(both, F.lit(TERM), 0), lambda w: ~F.contains(w, F.lit(MASK)))
+        return F.struct(F.concat_ws(":", x["kind"], F.lower(x["value"])).alias("entity"), F.array_distinct(F.transform(clear, F.lower)).alias("terms"))
 
-    return F.transform(spans, side)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE_SIZE}}}+"), 0)
+    return _bind(pieces, lambda p: F.transform(spans, lambda x: near(p, x)))
 
 
 def _vocabulary(text: Column) -> Column:
@@ -152,9 +193,10 @@ def _with_counts(pairs: DataFrame, n_pairs: int, counts: DataFrame, key: str) ->
 def disclosing_terms(docs: DataFrame, nearby: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, disclosure) of the terms that reveal an entity.
 
-    ``docs``: the texts of all documents; ``nearby``: entity, term, doc_id, text_hash.
+    ``docs``: the texts of all documents; ``nearby``: entity, term (null
+    where none stands near), doc_id, text_hash.
     """
-    n_te = stored(nearby.select("entity", "term", "doc_id", "text_hash").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")), "pairs")
+    n_te = stored(nearby.where("term is not null").select("entity", "term", "doc_id", "text_hash").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")), "pairs")
     n_e = nearby.select("entity", "text_hash", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     wanted = stored(n_te.select("term").distinct(), "terms")
     # Lower-cased one by one, as the terms near an entity are: a letter may become two.
@@ -172,18 +214,12 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """doc_id, text_hash, base and terms (arrays of spans) of every document."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     found = texts.withColumn("base", base_spans(F.col("text")))
-    found = stored(found.select("doc_id", "text_hash", "base", _contexts(F.col("text"), F.col("base")).alias("near")), "spans")
-
-    sides = found.where(F.size("base") > 0).select("doc_id", "text_hash", "base", F.explode("near").alias("n"))
-    sides = sides.select("doc_id", "text_hash", "base", "n.entity", F.explode("n.sides").alias("s"))
-    words = sides.select("doc_id", "text_hash", "base", "entity", "s.at", F.explode(matches(F.col("s.part"), "term", TERM)).alias("m"))
-    start, end = F.col("at") + F.col("m.start"), F.col("at") + F.col("m.end")
+    contexts = F.when(F.size("base") > 0, _contexts(masked(F.col("text")), F.col("base")))
+    found = stored(found.select("doc_id", "text_hash", "base", contexts.alias("near")), "spans")
 
-    def clear(start: Column, end: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < end) & (b["end"] > start))
-
-    words = words.select("doc_id", "text_hash", "entity", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"), "base")
-    words = stored(words.where(clear(F.col("start"), F.col("end"))).select("doc_id", "text_hash", "entity", "term"), "nearby")
+    sides = found.where(F.size("base") > 0).select("doc_id", "text_hash", F.explode("near").alias("n"))
+    words = sides.select("doc_id", "text_hash", "n.entity", F.explode_outer("n.terms").alias("term"))
+    words = stored(words, "nearby")
 
     revealing = stored(disclosing_terms(texts, words, threshold).select("term").distinct(), "revealing")
     n_revealing = revealing.count()
@@ -191,16 +227,17 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     holders = texts.select("doc_id", "text_hash", F.explode(_vocabulary(F.col("text"))).alias("term")).join(bounded(revealing, n_revealing), "term")
     holders = stored(holders.select("doc_id", "text_hash").distinct(), "holders")
     held = texts.alias("d").join(bounded(holders, holders.count()).alias("h"), _same("d", "h"), "left_semi")
-    pieces = held.select("doc_id", "text_hash", F.explode(matches(F.col("text"), "piece", PIECE)).alias("p"))
+    pieces = held.select("doc_id", "text_hash", F.explode(matches(masked(F.col("text")), "piece", PIECE)).alias("p"))
     tokens = pieces.select("doc_id", "text_hash", F.col("p.start").alias("at"), F.explode(matches(F.col("p.value"), "term", TERM)).alias("m"))
-    tokens = tokens.select("doc_id", "text_hash", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"))
+    start, end = F.col("at") + F.col("m.start"), F.col("at") + F.col("m.end")
+    tokens = tokens.where(~F.contains("m.value", F.lit(MASK))).select("doc_id", "text_hash", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"))
     spans = tokens.join(bounded(revealing, n_revealing), "term")
     listed = spans.groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_set(F.struct("start", "end", "term"))).alias("terms")
     )  # bounded by the text: one entry for each of its words
     b, t = found.select("doc_id", "text_hash", "base").alias("b"), listed.alias("t")
     joined = b.join(t, _same("b", "t"), "left")
-    terms = F.filter(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,term:string>>")), lambda x: clear(x["start"], x["end"]))
+    terms = F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,term:string>>"))
     terms = F.transform(terms, lambda x: F.struct(F.lit("term").alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["term"].alias("value")))
     return joined.select("b.doc_id", "b.text_hash", "base", terms.alias("terms"))
 
@@ -210,7 +247,7 @@ def _joined(spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with their texts sanitised; a null text stays null.
+    """``docs`` with their texts sanitised; a null text stays null, other columns are kept.
 
     Where spans overlap, the one that begins first wins, and of those the longest.
     """
@@ -218,20 +255,45 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = found.where((F.size("base") > 0) | (F.size("terms") > 0)).dropDuplicates(["doc_id", "text_hash"])
     ordered = F.array_sort(F.transform(F.concat("base", "terms"), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("back"), x["kind"].alias("kind"))))
     changes = found.select("doc_id", "text_hash", ordered.alias("cuts")).alias("c")
-    rows = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).alias("d")
-    joined = rows.join(changes, _same("d", "c"), "left")
-
-    def step(acc: Column, x: Column) -> Column:
+    # The input's own names, whatever they are, stay out of the way.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (F.col(f"d.{names[docs.columns.index(c)]}") for c in ("doc_id", "text"))
+    rows = docs.toDF(*names).alias("d")
+    same = doc_id.eqNullSafe(F.col("c.doc_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("c.text_hash"))
+
+    def step(acc: Column, x: Column, rest: Column, origin: Column) -> Column:
+        """``rest`` is the text from ``origin`` on; what stands between cuts is taken from it."""
         covered = x["start"] < acc["at"]
-        before = F.col("d.text").substr(acc["at"] + 1, x["start"] - acc["at"])
+        before = rest.substr(acc["at"] - origin + 1, x["start"] - acc["at"])
         put = F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))
         parts = F.when(covered, acc["parts"]).otherwise(F.concat(acc["parts"], F.array(before, put)))
-        return F.struct(F.greatest(acc["at"], F.when(covered, acc["at"]).otherwise(-x["back"])).alias("at"), parts.alias("parts"))
+        return F.struct(F.when(covered, acc["at"]).otherwise(-x["back"]).alias("at"), parts.alias("parts"))
+
+    none = F.array().cast("array<string>")
+
+    def block(acc: Column, cuts: Column) -> Column:
+        """Cuts of one block, in the stretch of text up to the last of them: a substring costs
+        what stands before it, so it's taken from that stretch."""
+        upto = F.greatest(F.coalesce(F.element_at(F.slice(cuts, -1, 1), 1)["start"], F.lit(0)) - acc["at"], F.lit(0))
+        stretch = acc["rest"].substr(F.lit(1), upto)
+
+        def inside(t: Column) -> Column:
+            zero = F.struct(acc["at"].alias("at"), none.alias("parts"))
+            return F.aggregate(cuts, zero, lambda a, x: step(a, x, t, acc["at"]))
+
+        def result(q: Column) -> Column:
+            rest = acc["rest"].substr(q["at"] - acc["at"] + 1, F.lit(2**31 - 1))
+            return F.struct(q["at"].alias("at"), rest.alias("rest"), F.array_append(acc["parts"], F.array_join(q["parts"], "")).alias("parts"))
+
+        return _bind(_bind(stretch, inside), result)
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    new = F.aggregate("cuts", zero, step, lambda a: F.concat(F.array_join(a["parts"], ""), F.col("d.text").substr(a["at"] + 1, F.length("d.text"))))
-    text = F.when(F.col("cuts").isNull() | F.col("d.text").isNull(), F.col("d.text")).otherwise(new)
-    return joined.select(*(text.alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns))
+    zero = F.struct(F.lit(0).alias("at"), text.alias("rest"), none.alias("parts"))
+    cuts = F.when(F.size("cuts") > 0, F.col("cuts")).otherwise(F.array().cast("array<struct<start:int,back:int,kind:string>>"))
+    new = F.aggregate(_blocks(cuts), zero, block, lambda a: F.concat(F.array_join(a["parts"], ""), a["rest"]))
+    clean = F.when(F.col("c.cuts").isNull() | text.isNull(), text).otherwise(new)
+    joined = rows.join(changes, same, "left")
+    out = joined.select(*(clean.alias(n) if c == "text" else F.col(f"d.{n}") for n, c in zip(names, docs.columns, strict=True)))
+    return out.toDF(*docs.columns)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

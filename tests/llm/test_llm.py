@@ -537,3 +537,79 @@ def test_windows_are_bounded(spark, monkeypatch):
     assert max(len(w.held) for w in codec._windows.values()) <= 2 * codec.longest
     parts = list(codec.stream("▁" + "banana▁bread▁" * 50))
     assert len(parts) > 50 and sum(parts, []) == sp.encode("banana bread " * 50)
+
+
+def brute_terms(items):
+    """Disclosing terms by their definition, over whole texts."""
+    import math
+
+    rows, seen = [], set()
+    for i, t in items:
+        t = t or ""
+        base = [(m, *map(int, m.split(":")[1:])) for m in brute_spans(t)]
+        words = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", t)]
+        clear = [(w, s, e) for w, s, e in words if not any(b < e and s < f for _, b, f in base)]
+        near = set()
+        for m, b, f in base:
+            lo, hi = max(0, b - 80), min(len(t), f + 80)
+            if lo > 0:
+                lo += len(re.match(r"\S*", t[lo:b]).group())
+            if hi == f + 80:
+                hi -= len(re.search(r"\S*$", t[f:hi]).group())
+            entity = f"{m.split(':')[0]}:{t[b:f].lower()}"
+            near.add((entity, None))
+            near |= {(entity, w) for w, s, e in clear if (lo <= s and e <= b) or (f <= s and e <= hi)}
+        rows.append((set(() if (i, t) in seen else near), {w for w, _, _ in words}, clear))
+        seen.add((i, t))
+    total = len(items)
+    n_t = lambda w: sum(w in r[1] for r in rows)
+    n_p = lambda p: sum(p in r[0] for r in rows)
+    out = set()
+    for entity, w in set().union(*(r[0] for r in rows)):
+        n_e = n_p((entity, None))
+        if w is not None and n_e < total and math.log(n_p((entity, w)) * total / (n_t(w) * n_e)) / math.log(total / n_e) >= 0.9:
+            out.add(w)
+    return [sorted((s, e, w) for w, s, e in r[2] if w in out) for r in rows]
+
+
+def test_terms_by_brute_force(spark):
+    r, words = random.Random(31), vocabulary(31, 120)
+    people = [("Ann" + "".join(r.choice("abcdefgh") for _ in range(4)), f"p{k}@mail{k}.org") for k in range(12)]
+    items = []
+    for i in range(70):
+        w = [r.choice(words) for _ in range(r.randrange(5, 60))]
+        for _ in range(r.randrange(0, 3)):
+            name, mail = r.choice(people)
+            w.insert(r.randrange(len(w) + 1), r.choice([f"{name} {mail}", f"{mail},{name}", f"{name}", f"é{mail}ééé", f"{name} 10.0.0.{r.randrange(3)}", f"tel+44 20 7946 0958 {name}"]))
+        items.append((i, " ".join(w)))
+    items += [(80, None), (81, ""), items[3], (None, items[4][1])]
+    wanted = brute_terms(items)
+    assert sum(map(len, wanted)) > 10
+    got = {}
+    for x in pii.find_personal_data(frame(spark, items)).collect():
+        got[x.doc_id, x.text_hash] = [(s.start, s.end, s.value) for s in x.terms]
+    ids = [r.h for r in spark.createDataFrame([(k, t or "") for k, (_, t) in enumerate(items)], "k int, t string").orderBy("k").select(F.xxhash64("t").alias("h")).collect()]
+    assert all(got[i, h] == want for (i, _), h, want in zip(items, ids, wanted, strict=True))
+
+
+def test_many_entities_in_one_text(spark):
+    """Work grows with the text, not with the square of what is found in it."""
+    n = 20000
+    text = " ".join(f"a{i}@b.cd" for i in range(n))
+    df = frame(spark, [(1, text), (2, "x " * 1500 + "one a1@b.cd and +44 20 7946 0958 end")])
+    got = {x.doc_id: x for x in pii.find_personal_data(df).collect()}
+    assert [(s.start, s.end) for s in got[1].base] == [m.span() for m in re.finditer(r"\S+", text)]
+    clean = {x.doc_id: x.text for x in pii.sanitise(df).collect()}
+    assert clean[1] == " ".join(["[EMAIL]"] * n)
+    assert "[EMAIL]" in clean[2] and "[PHONE]" in clean[2] and "@" not in clean[2]
+
+
+def test_sanitise_keeps_clashing_columns(spark):
+    items = [(1, "mail a@b.c now"), (2, None), (3, "none")]
+    df = frame(spark, items).withColumn("text_hash", F.lit(5)).withColumn("cuts", F.lit("kept")).withColumn("c.d", F.lit(7)).withColumn("at", F.col("doc_id") * 2)
+    rows = pii.sanitise(df)
+    assert rows.columns == df.columns
+    got = {x["doc_id"]: x for x in rows.collect()}
+    assert all(x["text_hash"] == 5 and x["cuts"] == "kept" and x["c.d"] == 7 and x["at"] == 2 * i for i, x in got.items())
+    assert "[EMAIL]" in got[1].text
+    assert got[2].text is None and got[3].text == "none"
