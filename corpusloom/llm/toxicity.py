@@ -26,6 +26,7 @@ scores; very long texts are scored whole; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -58,13 +59,15 @@ _LETTERS = r"[^\W\d_]"
 _SIGN = r"[0-9@$!|+(<€£.\-_*~'^#=/\\]"
 _LOOK = r"[0-9@$!|+(<€£]"
 _OTHERS = r"(?:[\d_]|[^\w\s])"
-#: Tokens whose lattice has more than one path: letters set apart, signs inside, before or after
-#: letters, or runs. A token is tried where it begins, so that a long one is scanned once.
-_SUSPECT = re.compile(
-    rf"(?<![^\s])(?:{_LETTERS}[ .\-_*~'^#=/\\]){{3,}}{_LETTERS}(?![^\s.,;:!?])"
-    rf"|(?<![^\s.,;:!?])(?:\S*{_LETTERS}{_SIGN}+{_LETTERS}\S*|\S*[0-9@$|+(<€£]{_LETTERS}\S*|\S*({_LETTERS})\1\1\S*"
-    rf"|\S*{_LETTERS}(?={_OTHERS}*+(?!\S))(?:(?!{_LOOK}){_OTHERS})*+{_LOOK}\S*)"
+#: Single letters set apart, and what marks a token whose lattice has more than one path: signs
+#: inside, before or after letters, or runs. No pattern repeats over what another start repeats
+#: over, so each takes time linear in the text.
+_SPACED_PATTERN = rf"(?<![^\s])(?:{_LETTERS}[ .\-_*~'^#=/\\]){{3,}}{_LETTERS}(?![^\s.,;:!?])"
+_MARKED_PATTERN = (
+    rf"{_LETTERS}{_SIGN}++{_LETTERS}|[0-9@$|+(<€£]{_LETTERS}|({_LETTERS})\1\1"
+    rf"|{_LETTERS}(?={_OTHERS}*+(?!\S))(?:(?!{_LOOK}){_OTHERS})*+{_LOOK}"
 )
+_SPACED, _MARKED, _SUSPECT = re.compile(_SPACED_PATTERN), re.compile(_MARKED_PATTERN), re.compile(f"{_MARKED_PATTERN}|{_SPACED_PATTERN}")
 _WORD_TABLE = byte_class([*range(0, 48), *range(58, 97), *range(123, 128)])
 
 
@@ -164,13 +167,27 @@ class Channel:
     def restored_tokens(self, text: str) -> str:
         """The restored forms of the obfuscated tokens of a lower-cased text, space-separated."""
         found = []
-        for match in _SUSPECT.finditer(text):
-            token = match.group().strip(".,;:?\"*%&#")
+        for token in suspects(text):
+            token = token.strip(".,;:?\"*%&#")
             if len(token) > 1 and (restored := self.restore(token)) != token:
                 found.append(restored)
         return " ".join(found)
 
 
+def suspects(text: str) -> Iterator[str]:
+    """The tokens of a lower-cased text that show obfuscation, letters set apart as one."""
+    at = 0
+    for match in (*_SPACED.finditer(text), None):
+        part = text[at : match.start() if match else len(text)]
+        tokens = part.split()
+        if at and tokens and not part[0].isspace():
+            tokens[0] = tokens[0][1:]  # the sign after the last letter set apart
+        yield from filter(_MARKED.search, tokens)
+        if match:
+            yield match.group()
+            at = match.end()
+
+
 def _features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(document, feature) for each word and each of its beginnings; not distinct."""
     words = Words(texts, _WORD_TABLE)
@@ -253,16 +270,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def _logistic(rows: np.ndarray, columns: np.ndarray, y: np.ndarray, width: int) -> tuple[float, np.ndarray]:
-    """L2-regularised logistic regression on binary features by accelerated gradient descent."""
-    n = len(y)
+def _logistic(rows: np.ndarray, columns: np.ndarray, y: np.ndarray, copies: np.ndarray, width: int) -> tuple[float, np.ndarray]:
+    """L2-regularised logistic regression on binary features by accelerated gradient descent;
+    ``copies`` says how often each row stands."""
+    size, n = len(y), copies.sum()
     w, b, v, u = np.zeros(width), 0.0, np.zeros(width), 0.0
-    share = y.mean()
-    weight = np.where(y > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
+    share = (y * copies).sum() / n
+    weight = copies * np.where(y > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
     rate = 2.0
-    degree = np.maximum(np.bincount(columns, minlength=width) / n, 1e-3)
+    degree = np.maximum(np.bincount(columns, weights=copies[rows].astype(np.float64), minlength=width) / n, 1e-3)
     for _ in range(1500):
-        z = u + np.bincount(rows, weights=v[columns], minlength=n)
+        z = u + np.bincount(rows, weights=v[columns], minlength=size)
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / n
         gw = np.bincount(columns, weights=g[rows], minlength=width) + 1e-5 * v
         new_w, new_b = v - rate * gw / np.sqrt(degree), u - rate * g.sum()
@@ -324,16 +342,26 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8_list(batch.column(1))
-            lists: list[list[int]] = [[] for _ in texts]
+            packed = [b""] * len(texts)
             for begin, doc, feature in _presence(texts, share.value, place >= 0):
-                for d, f in zip(doc, place[feature], strict=True):
-                    lists[begin + d].append(int(f))
-            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32())), batch.column(2)], names=["features", "toxic"])
-
-    got = rows.mapInArrow(gather, "features array<int>, toxic int").collect()
-    at = np.repeat(np.arange(len(got)), [len(r[0]) for r in got])
-    columns = np.array([f for r in got for f in r[0]], dtype=np.int64)
-    bias, w = _logistic(at, columns, np.array([r[1] for r in got], dtype=np.float64), max(1, len(chosen)))
+                ends = np.searchsorted(doc, np.arange(doc[-1] + 2)) if len(doc) else np.empty(0, np.int64)
+                for d, (x, y) in enumerate(itertools.pairwise(ends)):
+                    packed[begin + d] = np.sort(place[feature[x:y]]).astype("<i2").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(2)], names=["features", "toxic"])
+
+    # Equal rows are one with a count; where ids repeat over more texts than were sampled, a
+    # share of the rows is drawn by hash, so that what reaches the driver is bounded.
+    patterns = rows.mapInArrow(gather, "features binary, toxic int").groupBy("features", "toxic").agg(F.count("*").alias("copies"))
+    patterns = stored(patterns, "patterns")
+    share_of = sample_rows / max(1, patterns.count())
+    if share_of < 1:
+        patterns = patterns.where(F.pmod(F.xxhash64("features", "toxic"), F.lit(1 << 20)) < int(share_of * (1 << 20)))
+    got = sorted((bytes(r[0]), r[1], r[2]) for r in patterns.collect())
+    lists = [np.frombuffer(r[0], "<i2").astype(np.int64) for r in got]
+    at = np.repeat(np.arange(len(got)), [len(x) for x in lists])
+    columns = np.concatenate([np.empty(0, np.int64), *lists])
+    y, copies = (np.array([r[k] for r in got], dtype=np.float64) for k in (1, 2))
+    bias, w = _logistic(at, columns, y, copies, max(1, len(chosen)))
     return Model(bias, {f: float(w[i]) for i, f in enumerate(chosen)}, channel)
 
 

@@ -613,3 +613,48 @@ def test_sanitise_keeps_clashing_columns(spark):
     assert all(x["text_hash"] == 5 and x["cuts"] == "kept" and x["c.d"] == 7 and x["at"] == 2 * i for i, x in got.items())
     assert "[EMAIL]" in got[1].text
     assert got[2].text is None and got[3].text == "none"
+
+
+def test_viterbi_by_enumeration():
+    """The decoded string costs no more than any other path of the lattice."""
+    c, r = channel(), random.Random(17)
+
+    def price(strings, prices):
+        x = y = toxicity._EDGE
+        total = sum(prices)
+        for char in "".join(strings):
+            k = c._class(char)
+            total += c.cost[x, y, k]
+            x, y = (toxicity._EDGE, toxicity._EDGE) if k == toxicity._EDGE else (y, k)
+        return total + c.cost[x, y, toxicity._EDGE]
+
+    for _ in range(150):
+        token = "".join(r.choice("stupidom013$@.-é|uu") for _ in range(r.randrange(1, 8)))
+        paths = {}
+        for arcs in itertools.product(*c.lattice(token)):
+            strings, prices = zip(*arcs, strict=True)
+            word, cost = "".join(strings), price(strings, prices)
+            paths[word] = min(cost, paths.get(word, cost))
+        assert paths[c.restore(token)] == pytest.approx(min(paths.values())), token
+
+
+def test_suspects_take_linear_time():
+    import time
+
+    c = channel()
+    texts = ["ab" * 250000, "ab,cd;" * 80000, "日本" * 250000, "a-" * 200000 + "aa", "-" * 400000 + "a", "st.upid " + "word," * 80000]
+    begin = time.perf_counter()
+    for text in texts:
+        c.restored_tokens(text)
+        toxicity.readable([text.encode()], c)
+    assert time.perf_counter() - begin < 60
+    assert list(toxicity.suspects("s t u p i d.id-iot good th3 s.t.u.p and")) == ["s t u p i d", "id-iot", "th3", "s.t.u.p"]
+
+
+def test_toxic_sample_is_bounded(spark):
+    """One labelled id over many texts: the fit takes no more rows than asked for, about."""
+    docs = spark.range(4000).select(F.lit(1).alias("doc_id"), F.concat(F.lit("zlorp text of number "), F.col("id").cast("string")).alias("text"))
+    docs = docs.unionByName(spark.range(300).select((F.col("id") + 2).alias("doc_id"), F.concat(F.lit("a clean text of number "), F.col("id").cast("string")).alias("text")))
+    marks = spark.range(302).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") == 1).cast("int").alias("toxic"))
+    got = {x.doc_id: x.score for x in toxicity.score(docs, toxicity.train(docs, marks, 200)).collect()}
+    assert got[1] > 0.5 > got[7]
