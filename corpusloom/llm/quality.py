@@ -26,6 +26,7 @@ from .textkit import Words, groups, mix64, small_batches, stored, table, utf8_li
 
 BUCKETS = 512
 SAMPLE_ROWS = 6_000
+VARIETY_WORDS = 500
 REJECT_BELOW = 0.2
 LABELLERS = ("symbols", "odd_bytes", "shouting", "exclaiming", "repeating", "variety", "separators", "rhythm", "prose")
 
@@ -75,9 +76,13 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return sums[w.doc_end] - sums[begin]
 
     hashes = w.hashes()
-    order = np.lexsort((hashes, w.doc))
+    # Variety is measured in windows of so many words, so that one rule holds at every length.
+    window = (np.arange(len(w.doc)) - (np.cumsum(n) - n)[w.doc]) // VARIETY_WORDS
+    order = np.lexsort((hashes, window, w.doc))
     fresh = np.ones(len(order), dtype=bool)
-    fresh[1:] = (w.doc[order][1:] != w.doc[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
+    for x in (w.doc[order], window[order], hashes[order]):
+        fresh[1:] &= x[1:] == x[:-1]
+    fresh[1:] = ~fresh[1:]
     distinct = np.bincount(w.doc[order][fresh], minlength=n_docs)
     again = np.zeros(len(hashes), dtype=bool)
     again[1:] = (hashes[1:] == hashes[:-1]) & (w.doc[1:] == w.doc[:-1])
@@ -109,10 +114,10 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     vote("shouting", never, (capitals > 0.35) & (n >= 10))
     vote("exclaiming", never, exclaim > 0.1)
     vote("repeating", never, repeat > 0.25)
-    vote("variety", never, (variety < 0.35) & (n >= 20) & (n < 1000))
+    vote("variety", never, (variety < 0.35) & (n >= 20))
     vote("separators", never, bars > 0.12)
     vote("rhythm", (short > 0.1) & (short < 0.8) & (ends < 0.5), (short < 0.03) & (n >= 20))
-    vote("prose", prose & ((variety > 0.3) | (n >= 1000)), never)
+    vote("prose", prose & (variety > 0.3), never)
 
     shape = np.minimum(length, 12).astype(np.uint64)
     for part in (_KIND[first], _KIND[before_last], _KIND[last], again.astype(np.uint64)):
@@ -120,7 +125,7 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     bucket = (mix64(shape) % np.uint64(BUCKETS - 4)).astype(np.int64) + 4
     counts = np.bincount(w.doc * BUCKETS + bucket, minlength=n_docs * BUCKETS).reshape(n_docs, BUCKETS)
     features = np.sqrt(counts / np.maximum(n, 1)[:, None]).astype(np.float32)
-    features[:, 0], features[:, 1] = variety * (n < 2000) + (n >= 2000), capitals
+    features[:, 0], features[:, 1] = variety, capitals
     features[:, 2], features[:, 3] = n < 20, n < 3
     return votes, features
 
@@ -176,20 +181,24 @@ class Scorer:
             if self.weights is None:
                 score[begin:end] = weak[begin:end]
             else:
-                score[begin:end] = 1 / (1 + np.exp(-np.clip(features @ self.weights + self.bias, -30, 30)))
+                # Summed row by row: a matrix product depends on which rows come together.
+                total = (features.astype(np.float64) * self.weights).sum(axis=1) + self.bias
+                score[begin:end] = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
             blank = np.array([not t.strip() for t in texts[begin:end]], dtype=bool)
             score[begin:end][blank] = weak[begin:end][blank] = 0.0
         return score, weak
 
 
-def _fit(features: np.ndarray, target: np.ndarray, rounds: int = 600) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by accelerated gradient descent."""
-    scale = np.sqrt((features**2).mean(axis=0)) + 0.02
+def _fit(features: np.ndarray, target: np.ndarray, copies: np.ndarray, rounds: int = 600) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by accelerated gradient descent; ``copies`` says how
+    often each row stands."""
+    share = (copies / copies.sum()).astype(np.float32)
+    scale = np.sqrt(share @ features**2) + 0.02
     x = features / scale
     w, b, v, u = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(x.shape[1], np.float32), 0.0
-    rate = 4.0 / max(1.0, float((x**2).sum(axis=1).mean()))
+    rate = 4.0 / max(1.0, float(share @ (x**2).sum(axis=1)))
     for _ in range(rounds):
-        g = (1 / (1 + np.exp(-np.clip(x @ v + u, -30, 30))) - target).astype(np.float32) / len(target)
+        g = (1 / (1 + np.exp(-np.clip(x @ v + u, -30, 30))) - target).astype(np.float32) * share
         new_w, new_b = v - rate * (g @ x + 1e-4 * v), u - rate * float(g.sum())
         v, u = new_w + 0.9 * (new_w - w), new_b + 0.9 * (new_b - b)
         w, b = new_w, new_b
@@ -211,9 +220,9 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Scorer, dict
                 kept = [f.tobytes() if d < rate else None for f, d in zip(features, draw[begin:end], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(_encode(votes).astype(np.int32)), pa.array(draw[begin:end]), pa.array(kept, pa.binary())], names=["pattern", "draw", "features"])
 
-    drawn = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)).alias("draw")
+    drawn = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 52)) / float(1 << 52)).alias("draw")
     voted = stored(docs.select(drawn, "text").mapInArrow(run, "pattern int, draw double, features binary"), "votes")
-    rows = voted.groupBy("pattern").count().collect()
+    rows = sorted(voted.groupBy("pattern").count().collect())
     codes, counts = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.float64)
     if not len(rows):
         return Scorer({}, None, 0.0), dict.fromkeys(LABELLERS, 0.5)
@@ -222,17 +231,20 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Scorer, dict
     by_pattern = {int(c): float(p) for c, p in zip(codes, posterior, strict=True)}
     given = spark.createDataFrame([(k, v) for k, v in by_pattern.items()], "pattern int, p double")
     sample = voted.where("features is not null").join(F.broadcast(given), "pattern")
-    # Each side is thinned to about sample_rows by hash where it lies; what reaches the driver
-    # is bounded by the limit.
+    # Of each side the rows with the smallest draws: their bound is found on draws alone, and
+    # rows of one draw, which are repeats, are one with a count. So the sample is bounded and
+    # the same however the rows are dealt out.
     picked = []
     for good in (True, False):
-        share = 1.2 * sample_rows / max(1.0, float(counts[(posterior >= 0.5) == good].sum()))
-        side = sample.where((F.col("p") >= 0.5) == good).where(F.col("draw") < share)
-        picked.append(side.select("features", "p").limit(sample_rows).collect())
-    if not picked[0] or not picked[1]:
-        return Scorer(by_pattern, None, 0.0), named
-    features = np.stack([np.frombuffer(r[0], dtype=np.float32) for side in picked for r in side])
-    weights, bias = _fit(features, np.array([r[1] for side in picked for r in side]))
+        side = sample.where((F.col("p") >= 0.5) == good)
+        last = side.select("draw").distinct().orderBy("draw").limit(sample_rows).agg(F.max("draw")).first()[0]
+        if last is None:
+            return Scorer(by_pattern, None, 0.0), named
+        picked += side.where(F.col("draw") <= last).groupBy("draw", "features", "p").count().collect()
+    picked.sort(key=lambda r: (r[0], bytes(r[1]), r[2]))
+    features = np.stack([np.frombuffer(r[1], dtype=np.float32) for r in picked])
+    target, copies = (np.array([r[k] for r in picked], dtype=np.float64) for k in (2, 3))
+    weights, bias = _fit(features, target, copies)
     return Scorer(by_pattern, weights, bias), named
 
 

@@ -658,3 +658,57 @@ def test_toxic_sample_is_bounded(spark):
     marks = spark.range(302).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") == 1).cast("int").alias("toxic"))
     got = {x.doc_id: x.score for x in toxicity.score(docs, toxicity.train(docs, marks, 200)).collect()}
     assert got[1] > 0.5 > got[7]
+
+
+def test_expectation_maximisation_by_rows():
+    """The estimate from pattern counts is that of a plain loop over rows."""
+    r = np.random.default_rng(5)
+    k = len(quality.LABELLERS)
+    truth = r.random(400) < 0.8
+    rows = np.stack([[(int(t) if r.random() < 0.8 else 1 - int(t)) if r.random() < 0.6 else -1 for _ in range(k)] for t in truth]).astype(np.int64)
+    codes, counts = np.unique(quality._encode(rows), return_counts=True)
+    posterior, accuracy, good = quality.expectation_maximisation(quality._decode(codes), counts.astype(float))
+    chance = [[[0.4, 0.35, 0.25] for _ in range(k)], [[0.3, 0.02, 0.68] for _ in range(k)]]
+    share, old = 0.85, [0.85] * len(rows)
+    for _ in range(300):
+        new = []
+        for row in rows:
+            like = [np.prod([chance[y][j][v + 1] for j, v in enumerate(row)]) * s for y, s in ((0, 1 - share), (1, share))]
+            new.append(like[1] / (like[0] + like[1]))
+        for y in (0, 1):
+            weight = [x if y else 1 - x for x in new]
+            for j in range(k):
+                for v in range(3):
+                    chance[y][j][v] = (sum(w for w, row in zip(weight, rows, strict=True) if row[j] + 1 == v) + (1.0, 0.5, 0.5)[v]) / (sum(weight) + 2)
+        for j in range(k):
+            chance[1][j][1] = min(chance[1][j][1], chance[0][j][1])
+        share = min(max((sum(new) + 9) / (len(rows) + 10), 0.05), 0.995)
+        done = max(abs(a - b) for a, b in zip(new, old, strict=True)) < 1e-7
+        old = new
+        if done:
+            break
+    by_code = dict(zip(codes.tolist(), posterior, strict=True))
+    assert np.allclose([by_code[int(c)] for c in quality._encode(rows)], old, atol=1e-5) and good == pytest.approx(share, abs=1e-5)
+    assert np.mean((np.array(old) > 0.5) == truth) > 0.9 and all(0.5 < a < 1 for a in accuracy)
+
+
+def test_quality_is_reproducible(spark):
+    """Scores don't depend on how rows are dealt out, also where the sample is cut and a row repeats."""
+    r, words = random.Random(40), vocabulary(40)
+    items = [(i, " ".join(r.choice(words) + ("." if r.random() < 0.1 else r.choice(["", "", "***"])) for _ in range(r.randrange(5, 60)))) for i in range(600)]
+    items += [(i, " ".join(r.choice(words).upper() + "!!" for _ in range(40))) for i in range(600, 700)] + items[:1] * 300
+    got = []
+    for parts in (2, 7):
+        df = spark.createDataFrame(items, "doc_id long, text string").repartition(parts)
+        scorer, _ = quality.train(df, 100)
+        assert scorer.weights is not None
+        got.append(sorted(quality.score(df, scorer).select("doc_id", "score").collect()))
+    assert got[0] == got[1] and len({x.score for x in got[0]}) > 100
+
+
+def test_variety_at_any_length():
+    """A long text that cycles one line of words is as poor as a short one."""
+    line = " ".join(vocabulary(50, 60)) + " "
+    votes, _ = quality.describe([(line * n).encode() for n in (4, 20, 100)] + [" ".join(vocabulary(51, 3000)).encode()])
+    at = quality.LABELLERS.index("variety")
+    assert list(votes[:, at]) == [0, 0, 0, -1]
