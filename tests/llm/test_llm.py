@@ -712,3 +712,40 @@ def test_variety_at_any_length():
     votes, _ = quality.describe([(line * n).encode() for n in (4, 20, 100)] + [" ".join(vocabulary(51, 3000)).encode()])
     at = quality.LABELLERS.index("variety")
     assert list(votes[:, at]) == [0, 0, 0, -1]
+
+
+def test_proximity_by_brute_force(spark):
+    """The index alone and the whole operator give the same matches as a plain search, also at the borders of cells and for long windows."""
+    r, words = random.Random(23), vocabulary(23, 30)
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    benchmark = [(i, text(r.randrange(3, 14))) for i in range(8)] + [(8, " ".join(f"w{k}" for k in range(45))), (9, "lonely")]
+    items = []
+    for i in range(40):
+        w = text(r.randrange(0, 50)).split()
+        parts = benchmark[r.randrange(10)][1].split()
+        for _ in range(r.randrange(0, 3)):
+            k = r.randrange(len(parts))
+            parts[k : k + r.randrange(0, 2)] = [r.choice(words)]
+        items.append((i, " ".join(w + parts + text(r.randrange(0, 9)).split())))
+    items += [(50, None), (51, ""), items[0]]
+    docs, bench = frame(spark, items), spark.createDataFrame(benchmark, "item_id long, text string")
+    for width, slop in ((10, 2), (10, 0), (40, 1)):
+        sizes, hits, near, pairs = decontamination.find(docs, bench, width, slop)
+        windows, _ = decontamination.benchmark_windows(bench, width)
+        terms = windows.select(F.explode(F.split("phrase", " ")).alias("term")).distinct().withColumn("term_id", F.xxhash64("term"))
+        index = decontamination.build_index(docs.select("doc_id", "text"), terms, 1)
+        rows = decontamination.anchors(windows, terms, index.groupBy("term_id").agg(F.count("*").alias("f")))
+        # Repeated rows count in frequencies here and in the operator alike.
+        anchors = {}
+        for x in rows.join(terms, "term_id").collect():
+            anchors.setdefault(x.window, []).append((x.r, x.offset, x.term))
+        wanted = set()
+        for i, t in items:
+            w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+            for window, found in anchors.items():
+                (_, first, term), *rest = sorted(found)
+                for p, x in enumerate(w):
+                    if x == term and all(any(0 <= p - first + o + d < len(w) and w[p - first + o + d] == y for d in range(-slop, slop + 1)) for _, o, y in rest):
+                        wanted.add((i, window))
+        assert {(x.doc_id, x.window) for x in near.collect()} == wanted and wanted
+        assert {(x.doc_id, x.window) for x in decontamination.proximity(index, rows, 1, slop).collect()} == wanted
