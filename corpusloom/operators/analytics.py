@@ -51,7 +51,7 @@ def daily(docs: DataFrame, pairs: DataFrame, start: str, days: int) -> DataFrame
     spine = docs.sparkSession.range(1).select(F.explode(day).alias("day"))
     d = docs.groupBy(F.to_date("date_scraped").alias("day")).agg(F.count_if(~F.col("is_duplicate")).alias("unique_docs"), F.count_if(F.col("is_duplicate")).alias("duplicates"))
     q = pairs.groupBy(F.to_date("date_generated").alias("day")).agg(F.count("*").alias("qa_pairs"))
-    return F.broadcast(spine).join(d, "day", "left").join(q, "day", "left").fillna(0)
+    return spine.join(d, "day", "left").join(q, "day", "left").fillna(0)
 
 
 def search(df: DataFrame, equals: dict[str, object], contains: tuple[tuple[str, ...], str] | None = None, extra: Column | None = None) -> DataFrame:
@@ -192,4 +192,50 @@ def iso(ts: Column) -> Column:
 def cached_hashes(seen: DataFrame, as_of: Column, seconds: int) -> DataFrame:
     """The hashes (hash, id, ts) still remembered at a time: the latest id of each."""
     live = seen.where(F.unix_timestamp(as_of) - F.unix_timestamp("ts") < seconds)
-    return live.groupBy("hash").agg(F.max_by("id", "ts").alias("id"))
+    return live.groupBy("hash").agg(F.max_by("id", F.struct("ts", "id")).alias("id"))
+
+
+def pipeline_overview(docs: DataFrame, pairs: DataFrame, as_of: Column, minutes: int = 10) -> DataFrame:
+    """One row: unique, pending and eligible documents, pairs, the last scrape, and what came in
+    the last ``minutes``; one pass over each table."""
+    unique = ~F.col("is_duplicate")
+    pending = unique & (F.col("qa_count") == 0)
+    eligible = pending & F.col("pipeline_stage").isin("deduplicated", "quality_checked", "stored") & (F.col("word_count") >= 20) & (F.col("content_length") >= 100)
+    d = docs.agg(
+        F.count_if(unique).alias("unique_documents"), F.count_if(pending).alias("pending_qa"), F.count_if(eligible).alias("qa_eligible"),
+        F.max("date_scraped").alias("last_scrape"), F.count_if(recent(F.col("date_scraped"), as_of, minutes)).alias("docs_recently"),
+    )
+    return d.crossJoin(pairs.agg(F.count("*").alias("total_qa_pairs")))
+
+
+def recent(ts: Column, as_of: Column, minutes: int) -> Column:
+    return ts >= as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+
+
+def recent_rounds(rounds_: DataFrame, limit: int = 10) -> DataFrame:
+    return rounds_.orderBy(F.col("round_number").desc()).limit(bounded(limit, 1, 50))
+
+
+def with_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Documents with the list of their pairs by date and hash, empty where there are none; a
+    document's pairs are few, as a prompt asks for a handful."""
+    listed = pairs.groupBy(F.col("document_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("date_generated", "qa_hash", "question", "answer"))).alias("qa_pairs"))
+    out = docs.join(listed, "id", "left")
+    return out.withColumn("qa_pairs", F.coalesce("qa_pairs", F.array().cast(listed.schema["qa_pairs"].dataType)))
+
+
+def with_source_id(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Adds source_id by source_name; null where the source is unknown."""
+    ids = sources.select(F.col("name").alias("source_name"), F.col("id").alias("source_id"))
+    return rows.join(ids, "source_name", "left")
+
+
+def known_word_count(stored: Column, counted: Column) -> Column:
+    """The stored number of words, counted anew where it is missing or zero."""
+    return F.coalesce(F.nullif(stored, F.lit(0)), counted)
+
+
+def run_sql(statement: str, views: dict[str, DataFrame], **args: object) -> DataFrame:
+    """A SQL statement over named tables; {name} stands for a table and :name for a value."""
+    spark = next(iter(views.values())).sparkSession
+    return spark.sql(statement, args=args or None, **views)

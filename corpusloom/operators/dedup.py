@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.python import simhash128
+from ..storage import discard, stored
 
 THRESHOLD = 0.85
 BITS = 128
@@ -82,7 +83,8 @@ def class_members(prints: DataFrame) -> DataFrame:
 
 def near_marks(docs: DataFrame, max_hamming: int = MAX_HAMMING) -> DataFrame:
     """(id, duplicate_of, similarity) of documents with an older similar one: the oldest such."""
-    prints = fingerprints(docs)
+    # Read several times below, and dear to compute.
+    prints = stored(fingerprints(docs), "prints")
     members = class_members(prints)
     older = near_pairs(prints, max_hamming).groupBy("id").agg(F.min(F.struct("older_id", "distance")).alias("o"))
     joined = members.join(older, members.class_id == older.id, "left").select(members.id, "class_id", "o")
@@ -92,18 +94,17 @@ def near_marks(docs: DataFrame, max_hamming: int = MAX_HAMMING) -> DataFrame:
     return marked.select("id", F.col("best.older_id").alias("duplicate_of"), F.round(1 - F.col("best.distance") / BITS, 4).alias("similarity"))
 
 
-def roots(marks: DataFrame, rounds: int = 20) -> DataFrame:
-    """(id, root): chains of duplicate_of followed to their end by doubling."""
-    out = marks.select("id", F.col("duplicate_of").alias("root"))
+def roots(marks: DataFrame, rounds: int = 64) -> DataFrame:
+    """(id, root): chains of duplicate_of followed to their end by doubling, so that a chain of
+    n takes log n rounds. Each round is stored; marks that go round in a ring are an error."""
+    out = stored(marks.select("id", F.col("duplicate_of").alias("root")), "roots")
     for _ in range(rounds):
         step = out.select(F.col("id").alias("root"), F.col("root").alias("further"))
-        joined = out.join(step, "root", "left")
-        moved = not joined.where("further is not null").isEmpty()
-        out = joined.select("id", F.coalesce("further", "root").alias("root"))
-        if not moved:
-            break
-        out = out.checkpoint() if out.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else out
-    return out
+        if out.join(step, "root", "left_semi").isEmpty():
+            return out
+        old, out = out, stored(out.join(step, "root", "left").select("id", F.coalesce("further", "root").alias("root")), "roots")
+        discard(old)
+    raise ValueError("the marks have a ring")
 
 
 def classify(incoming: DataFrame, known: DataFrame, max_hamming: int = MAX_HAMMING) -> DataFrame:
@@ -149,6 +150,13 @@ def minhash_pairs(docs: DataFrame, threshold: float = 0.85, shingle: int = 3, ta
     return pairs.select(F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("older_id"), (1 - F.col("d")).alias("similarity"))
 
 
-def over_hashes(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row for each key, the first by ``order``; keys must be of bounded multiplicity."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
+
+def index_rows(prints: DataFrame) -> DataFrame:
+    """id, simhash_value and bucket_0 to bucket_3: the stored form of fingerprints."""
+    h = hex128(F.col("hi"), F.col("lo"))
+    return prints.select("id", h.alias("simhash_value"), *(F.substring(h, 1 + 8 * i, 8).alias(f"bucket_{i}") for i in range(BANDS)))
+
+
+def index_upsert(index: DataFrame, new: DataFrame) -> DataFrame:
+    """The index with the rows of ``new`` (one for each id) in place of those with their ids."""
+    return index.join(new.select("id"), "id", "left_anti").unionByName(new)

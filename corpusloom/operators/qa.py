@@ -22,22 +22,36 @@ def pairs_from_turns(turns: DataFrame) -> DataFrame:
     return q.join(a, ["document_id", "turn"])
 
 
-def generate(docs: DataFrame, generator: Callable[[str], str], concurrency: int = 1) -> DataFrame:
-    """Replies of an injected generator to each document's cleaned and cut text; ``concurrency``
-    partitions call it at a time. A failing call gives an empty reply."""
+def generate(docs: DataFrame, generator: Callable[[str], str], concurrency: int | None = None) -> DataFrame:
+    """id, reply and status of an injected generator for each document's cleaned and cut text.
+
+    A failing call gives an empty reply and the status ``failed``. With ``concurrency`` only so
+    many tasks run, for a generator that stands no more; prompts are made before, in parallel.
+    """
     prompts = docs.select("id", T.truncate(T.strip_noise(F.col("content_text")), CONTEXT_CHARS).alias("prompt"))
+    if concurrency is not None:
+        prompts = prompts.repartition(concurrency)
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def reply(prompt: str) -> str:
+        def reply(prompt: str) -> tuple[str, str]:
             try:
-                return generator(prompt)
+                return generator(prompt), "done"
             except Exception:
-                return ""
+                return "", "failed"
 
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "reply": [reply(p) for p in batch["prompt"]]})
+            yield pd.DataFrame([(i, *reply(p)) for i, p in zip(batch["id"], batch["prompt"], strict=True)], columns=["id", "reply", "status"])
+
+    return prompts.mapInPandas(run, f"id {prompts.schema['id'].dataType.simpleString()}, reply string, status string")
+
 
-    return prompts.coalesce(concurrency).mapInPandas(run, f"id {prompts.schema['id'].dataType.simpleString()}, reply string")
+def results(replies: DataFrame, least: int = MIN_PAIRS) -> DataFrame:
+    """id, status and pairs of each reply: failed, skipped (fewer acceptable pairs than
+    ``least``, none of which count) or generated."""
+    kept = F.filter(qa_pairs("reply"), lambda p: T.acceptable_question(p["question"]) & T.acceptable_answer(p["answer"]))
+    n = replies.select("id", "status", F.size(kept).alias("n"))
+    status = F.when(F.col("status") == "failed", "failed").when(F.col("n") < least, "skipped").otherwise("generated")
+    return n.select("id", status.alias("status"), F.when(status == "generated", F.col("n")).otherwise(0).alias("pairs"))
 
 
 def pairs_from_replies(replies: DataFrame) -> DataFrame:

@@ -45,7 +45,24 @@ def bump_parents(docs: DataFrame, inserted: DataFrame, stage: str = "qa_generate
 
 
 def merge_metadata(metadata: Column, key: str, value: Column) -> Column:
-    """A JSON object with one key set."""
-    old = F.from_json(F.coalesce(metadata, F.lit("{}")), "map<string,string>")
-    kept = F.map_filter(F.coalesce(old, F.create_map().cast("map<string,string>")), lambda k, _: k != key)
-    return F.to_json(F.map_concat(kept, F.create_map(F.lit(key), value)))
+    """A JSON object with one key set; other values keep their types. What isn't an object
+    counts as an empty one."""
+    kind = "map<string,variant>"
+    old = F.coalesce(F.from_json(metadata, kind), F.create_map().cast(kind))
+    kept = F.map_filter(old, lambda k, _: k != key)
+    return F.to_json(F.map_concat(kept, F.create_map(F.lit(key), value.cast("variant"))))
+
+
+def start_round(rounds: DataFrame, number: int, at: Column) -> DataFrame:
+    """The round's row (round_number, start_time, status) anew or in place, running since ``at``."""
+    spark = rounds.sparkSession
+    new = spark.range(1).select(F.lit(number).cast(rounds.schema["round_number"].dataType).alias("round_number"), at.alias("start_time"), F.lit("running").alias("status"))
+    old = rounds.where(F.col("round_number") == number).drop("start_time", "status")
+    row = new.join(old, "round_number", "left").select(*rounds.columns)
+    return rounds.where(F.col("round_number") != number).unionByName(row)
+
+
+def update_round(rounds: DataFrame, number: int, values: dict[str, object]) -> DataFrame:
+    """The given columns of one round's row set."""
+    mine = F.col("round_number") == number
+    return rounds.withColumns({c: F.when(mine, F.lit(v)).otherwise(F.col(c)) for c, v in values.items()})

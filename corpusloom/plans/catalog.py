@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import text as T
 from ..functions.python import clean_text, detect_language
 from ..operators import analytics, dedup, gates, qa, upsert
@@ -136,6 +135,14 @@ def simhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.bands(dedup.fingerprints(E.documents(spark, sf_dir))).select("id", F.col("band").cast("long").alias("band"), "value")
 
 
+@query("SELECT id, CASE WHEN id % 4 = 0 THEN repeat('0', 32) ELSE h END AS simhash_value, CASE WHEN id % 4 = 0 THEN repeat('0', 8) ELSE substr(h, 17, 8) END AS bucket_2 FROM hexed", D, _PRINTS)
+def simhash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index after a quarter of its rows were replaced."""
+    prints = dedup.fingerprints(E.documents(spark, sf_dir))
+    zero = prints.where("id % 4 = 0").select("id", F.lit(0).cast("long").alias("hi"), F.lit(0).cast("long").alias("lo"))
+    return dedup.index_upsert(dedup.index_rows(prints), dedup.index_rows(zero)).select("id", "simhash_value", "bucket_2")
+
+
 @query("SELECT id, older_id, distance FROM (SELECT x.id, y.id AS older_id, distance FROM near n JOIN (SELECT min(id) AS id FROM hexed GROUP BY h) x ON x.id = n.id JOIN (SELECT min(id) AS id FROM hexed GROUP BY h) y ON y.id = n.older_id)", D, _PRINTS, _NEAR)
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs between fingerprint classes, each named by its oldest document."""
@@ -392,12 +399,16 @@ def strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.read(spark, sf_dir, "pages").select("page_id", T.content_hash(T.strip_html(F.col("html"))).alias("text_hash"))
 
 
-@query("SELECT page_id, array_to_string(list_filter(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), lambda x: contains(x, '/th') AND NOT contains(x, '/tag/'))[1:60], ' ') AS raw FROM pages")
+_HREF = "regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)"
+
+
+@query(f"""SELECT page_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i)[1:60], ' ') AS links FROM (
+ SELECT page_id, list_filter({_HREF}, lambda x: contains(x, '/th') AND x <> url AND NOT regexp_matches(x, '/category/|/tag/|/author/|/page/')) AS l FROM pages)""")
 def link_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
     pages = E.read(spark, sf_dir, "pages").select("page_id", "url", found.alias("links"))
-    kept = F.filter("links", lambda u: F.contains(u, F.lit("/th")) & ~F.contains(u, F.lit("/tag/")))
-    return pages.select("page_id", F.array_join(F.slice(kept, 1, 60), " ").alias("raw"))
+    kept = T.listing_links(F.col("links"), F.lit("/th"), F.col("url"), T.LIST_PAGES, 60)
+    return pages.select("page_id", F.array_join(kept, " ").alias("links"))
 
 
 @query(r"SELECT page_id, rtrim(regexp_replace(url, '#.*$', '', 's'), '/') AS url, sha256(rtrim(regexp_replace(url, '#.*$', '', 's'), '/')) AS url_hash FROM pages")
@@ -420,9 +431,123 @@ def page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.read(spark, sf_dir, "pages").select("page_id", T.page_status(status, F.col("html"), F.lit("")).alias("status"))
 
 
-@query("SELECT count(*) AS dropped FROM pages WHERE octet_length(encode(html)) > 1048576")
+@query("SELECT count(*) FILTER (b > 1048576) AS dropped, count(*) FILTER (b * 200 > 1048576) AS dropped_long FROM (SELECT octet_length(encode(html)) AS b FROM pages)")
 def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.read(spark, sf_dir, "pages").where(~gates.within_size(F.col("html"), 1)).agg(F.count("*").alias("dropped"))
+    """Pages over one megabyte, as they are and 200 times over."""
+    pages = E.read(spark, sf_dir, "pages")
+    over = [F.count_if(~gates.within_size(h, 1)).alias(n) for h, n in ((F.col("html"), "dropped"), (F.repeat("html", 200), "dropped_long"))]
+    return pages.agg(*over)
+
+
+# Lookups, lists and the rows of rounds
+
+_AS_OF = "2024-01-01 12:00:00"
+
+
+@query(f"""SELECT count(*) FILTER (NOT is_duplicate) AS unique_documents, count(*) FILTER (NOT is_duplicate AND qa_count = 0) AS pending_qa,
+ count(*) FILTER (NOT is_duplicate AND qa_count = 0 AND word_count >= 20 AND content_length >= 100 AND id % 7 <> 0) AS qa_eligible, max(date_scraped) AS last_scrape,
+ count(*) FILTER (date_scraped >= TIMESTAMP '{_AS_OF}' - INTERVAL 10 MINUTE) AS docs_recently, (SELECT count(*) FROM pairs) AS total_qa_pairs FROM marked""", D, P, M)
+def pipeline_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = E.marked(spark, sf_dir).withColumn("pipeline_stage", F.when(F.col("id") % 7 == 0, "scraped").otherwise("deduplicated"))
+    return analytics.pipeline_overview(docs, E.pairs(spark, sf_dir), F.lit(_AS_OF).cast("timestamp_ntz"))
+
+
+@query(f"SELECT id, date_scraped FROM docs WHERE date_scraped >= TIMESTAMP '{_AS_OF}' - INTERVAL 300 MINUTE", D)
+def recent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = E.documents(spark, sf_dir).select("id", "date_scraped")
+    return docs.where(analytics.recent(F.col("date_scraped"), F.lit(_AS_OF).cast("timestamp_ntz"), 300))
+
+
+@query("SELECT round_number, sum(items_scraped)::BIGINT AS items FROM logs GROUP BY 1 ORDER BY 1 DESC LIMIT 7", L)
+def recent_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.recent_rounds(analytics.rounds(E.logs(spark, sf_dir)), 7).select("round_number", "items")
+
+
+@query("SELECT id, coalesce(string_agg(qa_hash, ',' ORDER BY date_generated, qa_hash), '') AS qa_hashes, count(qa_hash) AS n FROM docs LEFT JOIN pairs ON document_id = id GROUP BY 1", D, P)
+def document_pair_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the list of its pairs."""
+    out = analytics.with_pairs(E.documents(spark, sf_dir).select("id"), E.pairs(spark, sf_dir))
+    return out.select("id", F.array_join(F.transform("qa_pairs", lambda p: p["qa_hash"]), ",").alias("qa_hashes"), F.size("qa_pairs").cast("long").alias("n"))
+
+
+@query("SELECT id, source_name, content_length FROM marked WHERE NOT is_duplicate AND content_hash = (SELECT content_hash FROM docs WHERE id = 5)", D, P, M)
+def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original with the content of document 5."""
+    wanted = E.documents(spark, sf_dir).where("id = 5").select("content_hash").first()
+    found = analytics.search(E.marked(spark, sf_dir), {"content_hash": wanted[0] if wanted else "", "is_duplicate": False})
+    return found.select("id", "source_name", "content_length")
+
+
+@query("SELECT event_type AS hash, arg_max(event_id, (ts, event_id)) AS id FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 1 DAY AND ts <= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1")
+def cached_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hashes remembered for a day, at a time in the middle of the events."""
+    at = F.lit("2024-01-15 00:00:00").cast("timestamp")
+    seen = E.read(spark, sf_dir, "events").select(F.col("event_type").alias("hash"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
+    seen = seen.where(F.col("ts") <= at).withColumn("ts", F.col("ts"))
+    return analytics.cached_hashes(seen, at, 86400)
+
+
+@query("SELECT name, coalesce(enabled, true) AS enabled, n::BIGINT AS priority FROM num LEFT JOIN roster USING (name)", R)
+def configured_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sources with the stored state where there is one."""
+    names = E.read(spark, sf_dir, "documents").select(F.col("source").alias("name")).distinct()
+    config = names.withColumn("priority", F.substring("name", 4, 10).cast("long"))
+    return analytics.configured(config, E.roster(spark, sf_dir).select("name", "enabled"))
+
+
+@query("SELECT id, source_name, priority AS source_id FROM docs LEFT JOIN roster ON name = source_name", D, R)
+def source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their source's id; the roster's priority stands for it."""
+    sources = E.roster(spark, sf_dir).select("name", F.col("priority").alias("id"))
+    return analytics.with_source_id(E.documents(spark, sf_dir).select("id", "source_name"), sources).select("id", "source_name", "source_id")
+
+
+@query("SELECT id, word_count FROM docs", D)
+def fallback_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts where two thirds of the stored ones are missing or zero."""
+    docs = E.documents(spark, sf_dir)
+    kept = F.when(F.col("id") % 3 == 0, F.col("word_count")).when(F.col("id") % 3 == 1, 0)
+    return docs.select("id", analytics.known_word_count(kept, T.word_count(F.col("content_text")).cast("long")).alias("word_count"))
+
+
+@query("SELECT id, concat_ws(',', source_name, language) AS tags FROM docs", D)
+def joined_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.documents(spark, sf_dir).select("id", sinks.joined_tags(F.array("source_name", "language")).alias("tags"))
+
+
+@query("SELECT language, count(*) AS n FROM docs WHERE content_length >= 500 GROUP BY 1", D)
+def sql_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = E.documents(spark, sf_dir).select("language", "content_length")
+    return analytics.run_sql("SELECT language, count(*) AS n FROM {docs} WHERE content_length >= :least GROUP BY 1", {"docs": docs}, least=500)
+
+
+_ROUND_ROWS = "rr AS (SELECT round_number, min(started_at) AS start_time, 'completed' AS status, sum(items_scraped)::BIGINT AS items FROM logs GROUP BY 1)"
+
+
+@query(f"""SELECT round_number, CASE WHEN round_number = 3 THEN TIMESTAMP '{_AS_OF}' ELSE start_time END AS start_time,
+ CASE WHEN round_number = 5 THEN 'failed' WHEN round_number = 3 THEN 'running' ELSE status END AS status, CASE WHEN round_number = 5 THEN 0 ELSE items END AS items FROM rr
+UNION ALL SELECT 99, TIMESTAMP '{_AS_OF}', 'running', NULL""", L, _ROUND_ROWS)
+def round_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A round begun, one begun again, and one updated in part."""
+    rows = analytics.rounds(E.logs(spark, sf_dir)).select("round_number", F.col("started_at").alias("start_time"), F.lit("completed").alias("status"), "items")
+    at = F.lit(_AS_OF).cast("timestamp_ntz")
+    for number in (99, 3):
+        rows = upsert.start_round(rows, number, at)
+    return upsert.update_round(rows, 5, {"status": "failed", "items": 0})
+
+
+@query("SELECT event_id, started_at FROM logs WHERE started_at > TIMESTAMP '2024-01-20 00:00:00'", L)
+def past_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    logs = E.logs(spark, sf_dir).select("event_id", F.col("started_at").alias("created_at"))
+    return rounds.newer_than(logs, F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")).withColumnRenamed("created_at", "started_at")
+
+
+@query("SELECT page_id, 'cars' AS name, ['hot', 'top', 'new'][page_id % 3 + 1] AS sort, CASE WHEN page_id % 3 = 1 THEN 'month' END AS time_filter FROM pages")
+def forum_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing addresses taken apart."""
+    urls = F.array(*(F.lit(f"https://forum.example/r/cars{x}") for x in ("", "/top/?t=month", "/new")))
+    pages = E.read(spark, sf_dir, "pages").select("page_id", F.element_at(urls, (F.col("page_id") % 3 + 1).cast("int")).alias("u"))
+    return pages.select("page_id", T.forum_address(F.col("u")).alias("a")).select("page_id", "a.*")
 
 
 # Text that needs Python
@@ -444,11 +569,10 @@ def language_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _round(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = f"{folder or tempfile.gettempdir()}/round-{uuid.uuid4().hex}"
+    base = f"{storage.shared_folder(spark)}/round-{uuid.uuid4().hex}"
     stream = rounds.events(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     rounds.to_table(build(stream), f"{base}/out", f"{base}/state", mode)
-    shutil.rmtree(f"{base}/state".removeprefix("file://"), ignore_errors=True)
+    storage.remove(spark, f"{base}/state")
     return spark.read.parquet(f"{base}/out")
 
 

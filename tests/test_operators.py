@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import analytics, dedup, gates, qa, upsert
@@ -162,3 +163,38 @@ def test_small_rollups(spark):
     assert [r[0] for r in ts.select(analytics.iso(F.col("ts"))).collect()] == ["2024-01-02T03:04:05", "2024-01-02T03:04:05.000060"]
     seen = spark.createDataFrame([("h", 1, datetime.datetime(2024, 1, 1)), ("h", 2, datetime.datetime(2024, 1, 2)), ("g", 3, datetime.datetime(2023, 1, 1))], "hash string, id int, ts timestamp")
     assert rows(analytics.cached_hashes(seen, F.lit("2024-01-02 10:00:00").cast("timestamp"), 86400)) == [("h", 2)]
+
+
+def test_long_chains_and_rings(spark):
+    chain = spark.createDataFrame([(i + 1, i) for i in range(300)], "id long, duplicate_of long")
+    assert {r.root for r in dedup.roots(chain).collect()} == {0}
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "id long, duplicate_of long")
+    with pytest.raises(ValueError, match="ring"):
+        dedup.roots(ring, 4)
+
+
+def test_metadata_keeps_types(spark):
+    texts = [(1, '{"a": 1, "b": [true, null], "c": {"d": 1.5}, "k": 2}'), (2, "not json"), (3, None), (4, "[1]"), (5, "{}")]
+    got = spark.createDataFrame(texts, "id int, m string").select("id", upsert.merge_metadata(F.col("m"), "k", F.lit("v")).alias("m"))
+    got = {r.id: json.loads(r.m) for r in got.collect()}
+    assert got == {1: {"a": 1, "b": [True, None], "c": {"d": 1.5}, "k": "v"}} | {i: {"k": "v"} for i in (2, 3, 4, 5)}
+
+
+def test_failed_calls_are_counted(spark):
+    def call(prompt):
+        if "bad" in prompt:
+            raise RuntimeError("no model")
+        pair = {"question": "What should be done when the engine of this car makes a knocking noise at idle?", "answer": "Check the oil level and then the bearings."}
+        return json.dumps([pair] * (3 if "three" in prompt else 1))
+
+    docs = spark.createDataFrame([(1, "three"), (2, "one"), (3, "bad")], "id long, content_text string")
+    for concurrency in (None, 1):
+        out = qa.results(qa.generate(docs, call, concurrency))
+        assert rows(out) == [(1, "generated", 3), (2, "skipped", 0), (3, "failed", 0)]
+    assert tuple(analytics.batch_totals(out).first()) == (3, 3, 1, 1)
+
+
+def test_wrapped_page_is_escaped(spark):
+    text = F.lit('a < b & "c"')
+    page = spark.range(1).select(sinks.wrapped_html(text, text, text, text, text, F.lit(datetime.datetime(2024, 1, 1)), F.lit(None).cast("timestamp"), F.lit("<b>kept</b>"), text)).first()[0]
+    assert "<b>kept</b>" in page and "<h1>a &lt; b &amp; &quot;c&quot;</h1>" in page and 'a < b' not in page
