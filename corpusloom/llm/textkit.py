@@ -6,14 +6,14 @@ prefix-sum polynomial, so that no Python code runs per word.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import discard, stored  # noqa: F401  (shared by the operators)
+
 MASK64 = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -111,40 +111,5 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, which all executors and the driver share.
-
-    Only a local session, whose driver is its executor, may leave it unset.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = f"{tempfile.gettempdir()}/checkpoints"
-    return folder.rstrip("/")
-
-
-def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there, so a lost
-    executor costs no recomputation of what stands before."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete stored tables that no later step reads."""
-    for df in frames:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        for file in df.inputFiles()[:1]:
-            path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
