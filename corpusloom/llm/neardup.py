@@ -294,14 +294,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     crossing = rows.repartition(parts, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_search_blocks, "a long, b long").distinct()
     more = stored(confirm(crossing, sets), "links")
-    if more.isEmpty():
-        component = labels
-    else:
-        component = connected_components(links.unionByName(more))
-
-    # A class without links is its own component.
-    owner = classes.join(component, classes.rep == component.node, "left").select("h1", "h2", "first.doc_id", F.coalesce("component", "rep").alias("group"))
+    # A class without links is its own component; links across components join those.
+    owner = classes.join(labels, classes.rep == labels.node, "left").select("h1", "h2", "first.doc_id", "rep", F.coalesce("component", "rep").alias("group"))
     owner = stored(owner, "owners")
+    if not more.isEmpty():
+        a, b = (owner.select(F.col("rep").alias(c), F.col("group").alias(f"group_{c}")) for c in "ab")
+        joined = connected_components(more.join(a, "a").join(b, "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
+        owner = owner.join(joined, owner.group == joined.node, "left").withColumn("group", F.coalesce("component", "group")).drop("node", "component")
+    owner = owner.drop("rep")
     lowest = owner.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     owner = owner.drop("doc_id").join(lowest, "group")
     out = sketch.join(owner, ["h1", "h2"], "left")
