@@ -103,6 +103,18 @@ def index_keys(signature: np.ndarray) -> np.ndarray:
     return out.T
 
 
+def first_shared_key(sig_a: np.ndarray, sig_b: np.ndarray) -> np.ndarray:
+    """The first of ``index_keys`` that the signatures of each pair share; each pair shares one."""
+    same = (sig_a == sig_b).reshape(-1, CHUNKS, CHUNK_SYMBOLS)
+    chunk = (same.sum(axis=2) >= CHUNK_SYMBOLS - CHUNK_ERRORS).argmax(axis=1)
+    pair = np.arange(len(same))
+    left_out = (~same[pair, chunk]).argmax(axis=1)
+    k = (chunk * CHUNK_SYMBOLS + left_out + 1).astype(np.uint64)
+    for j in range(CHUNK_SYMBOLS):
+        k = np.where(left_out == j, k, mix64(k * _LEFT + sig_a[pair, chunk * CHUNK_SYMBOLS + j].astype(np.uint64)))
+    return k.view(np.int64)
+
+
 def bitmaps(doc: np.ndarray, shingles: np.ndarray, n_docs: int) -> np.ndarray:
     """(documents, BITMAP_BYTES) uint8: one bit set for each shingle."""
     bit = (mix64(shingles + _ALONE) % np.uint64(8 * BITMAP_BYTES)).astype(np.int64)
@@ -193,7 +205,8 @@ def _keep_possible(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _search_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, part): rep, component, side, n, sig, bitmap. Pairs across components
-    that pass ``can_link``. A group has about 2 * BLOCK rows at most and may span batches."""
+    that pass ``can_link``, each from the first bucket that it shares only. A group has about
+    2 * BLOCK rows at most and may span batches."""
 
     def search(rows: pa.Table) -> pa.RecordBatch:
         key, part, rep, label, side, n = (rows.column(i).to_numpy() for i in range(6))
@@ -211,10 +224,12 @@ def _search_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 x = i[at : at + (1 << 16)]
                 y = x + lag
                 ok = can_link(n[x], n[y], sig[x], sig[y], bit[x], bit[y])
-                if ok.size:
-                    found.append(np.unique(np.sort(np.stack([rep[x[ok]], rep[y[ok]]], axis=1), axis=1), axis=0))
+                x, y = x[ok], y[ok]
+                here = first_shared_key(sig[x], sig[y]) == key[x]
+                if here.any():
+                    found.append(np.sort(np.stack([rep[x[here]], rep[y[here]]], axis=1), axis=1))
             lag += 1
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.empty((0, 2), np.int64)
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     held: pa.Table | None = None
@@ -292,7 +307,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         "n", "sig", "bitmap",
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    crossing = rows.repartition(parts, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_search_blocks, "a long, b long").distinct()
+    crossing = rows.repartition(parts, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_search_blocks, "a long, b long")
     more = stored(confirm(crossing, sets), "links")
     # A class without links is its own component; links across components join those.
     owner = classes.join(labels, classes.rep == labels.node, "left").select("h1", "h2", "first.doc_id", "rep", F.coalesce("component", "rep").alias("group"))

@@ -160,6 +160,8 @@ def test_signature_guarantee():
         b[r.choice(neardup.SYMBOLS, neardup.GUARANTEED_DISTANCE, replace=False)] ^= 1
         keys = neardup.index_keys(np.stack([a, b]))
         assert (keys[0] == keys[1]).any()
+        shared = np.flatnonzero(keys[0] == keys[1])
+        assert neardup.first_shared_key(a[None], b[None]).view(np.uint64)[0] == keys[0][shared[0]]
 
 
 def test_word_hashes():
