@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import decontamination, license_scan, neardup
+from . import decontamination, hard_negatives, license_scan, neardup
 from .decontamination import op7_decontamination
+from .hard_negatives import op13_hard_negatives
 from .license_scan import op2_license_scan
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable]:
         "op8_edit_aware_counts": op8_edit_aware_counts,
         "op9_feistel_shards": op9_feistel_shards,
         "op10_toxicity": op10_toxicity,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -37,4 +39,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_minhash_neardup": neardup.ORACLE_SQL,
         "op2_license_scan": license_scan.oracle(),
         "op7_decontamination": decontamination.ORACLE_SQL,
+        "op13_hard_negatives": hard_negatives.ORACLE_SQL,
     }
