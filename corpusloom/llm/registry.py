@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import decontamination, hard_negatives, license_scan, neardup
+from . import decontamination, divergence, hard_negatives, license_scan, neardup
 from .decontamination import op7_decontamination
+from .divergence import op11_source_divergence
 from .hard_negatives import op13_hard_negatives
 from .license_scan import op2_license_scan
 from .media import op4_telephony_audio
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable]:
         "op8_edit_aware_counts": op8_edit_aware_counts,
         "op9_feistel_shards": op9_feistel_shards,
         "op10_toxicity": op10_toxicity,
+        "op11_source_divergence": op11_source_divergence,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
@@ -39,5 +41,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_minhash_neardup": neardup.ORACLE_SQL,
         "op2_license_scan": license_scan.oracle(),
         "op7_decontamination": decontamination.ORACLE_SQL,
+        "op11_source_divergence": divergence.ORACLE_SQL,
         "op13_hard_negatives": hard_negatives.ORACLE_SQL,
     }

@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import os
 import random
+import re
 import sys
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -13,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
-from corpusloom.llm import hard_negatives
+from corpusloom.llm import divergence, hard_negatives
 
 DATA = "/root/testdata/sf0.001"
 
@@ -88,3 +90,63 @@ def test_hard_negatives_odd_tables(spark):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 def test_hard_negatives_sql(spark):
     against_sql(spark, hard_negatives.op13_hard_negatives, hard_negatives.ORACLE_SQL)
+
+
+def diverging(items, least, top=10):
+    """lang, source, part, item, value, rank by the definitions, every kept term for every group."""
+    docs = [tuple(x or "" for x in d) for d in items]
+    small = {c: c + 32 for c in range(65, 91)}
+    found = [(lang, source, [t.translate(small) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)]) for lang, source, text in docs]
+    out = []
+    for lang in {d[0] for d in docs}:
+        df, per = Counter(), {s: Counter() for x, s, _ in found if x == lang}
+        for x, source, terms in found:
+            if x == lang:
+                df.update(set(terms))
+                per[source].update(terms)
+        kept = [t for t in df if df[t] >= least]
+
+        def weights(c, kept=kept):
+            n = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 2) // (n + 2 * len(kept)) for t in kept}
+
+        p = {s: weights(c) for s, c in per.items()}
+        q = weights(sum(per.values(), Counter()))
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in per:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o) for o in per if o != s]
+            terms = [(-f(p[s][t], q[t]), t) for t in kept if per[s][t] and p[s][t] > q[t]]
+            for part, entries, most in (("pair", pairs, len(pairs)), ("term", terms, top)):
+                out += [(lang, s, part, item, -v, k) for k, (v, item) in enumerate(sorted(entries, key=lambda e: (e[0], e[1].encode()))[:most], 1)]
+    return sorted(out)
+
+
+def test_divergence(spark, monkeypatch):
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdeé") for _ in range(r.randrange(1, 4))) for _ in range(60)] + ["日本", "Ａ", "🙂x", "É"]
+    items = [(r.choice(["en", "fr", None]), r.choice("abcde"), " ".join(r.choice(words[: 20 + 8 * (i % 6)]) + r.choice(["", "'S", "9", "-", "\x00", "\n"]) for _ in range(r.randrange(0, 40)))) for i in range(150)]
+    items += [("en", "a", None), ("en", "quiet", ""), ("en", "quiet", "123 --"), ("xx", "lonely", "one two"), ("yy", None, None), ("yy", "z", "3"), (None, None, "abc")] + items[:5]
+    items += [("en", "a", "ab É日本 Ba " * 30000)]
+    clash = "lang string, source string, text string, part string, item string, value int, rank int, term string, p long, n string"
+    df = spark.createDataFrame([(*x, "p", "i", 1, 2, "t", 3, "n") for x in items], clash).repartition(5)
+    for least in (1, 4, 10, 1000):
+        assert rows_of(divergence.divergence(df, least)) == sorted(diverging(items, least), key=repr)
+    # Long texts in pieces, shards summed as they fill, and joins without broadcast give the same.
+    monkeypatch.setattr(divergence, "PIECE_BYTES", 1000)
+    monkeypatch.setattr(divergence, "bounded", lambda frame, rows: frame)
+    assert rows_of(divergence.divergence(df, 4)) == sorted(diverging(items, 4), key=repr)
+    assert divergence.divergence(df.where("false"), 4).count() == 0
+
+
+def test_shard_sums_as_it_fills(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "SHARD_ROWS", 10)
+    batches = [pa.RecordBatch.from_pydict({"lang": ["en"] * 8, "source": ["a"] * 8, "term": list("aabbccdd"), "n": [1] * 8, "docs": [1] * 8}) for _ in range(9)]
+    (out,) = divergence._shard(batches, ("SELECT * FROM part ORDER BY term",), divergence._SUM)
+    assert out.to_pydict()["term"] == list("abcd") and out.to_pydict()["n"] == [18] * 4
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+def test_divergence_sql(spark):
+    against_sql(spark, divergence.op11_source_divergence, divergence.ORACLE_SQL)
