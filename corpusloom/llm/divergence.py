@@ -123,7 +123,7 @@ def _shard(batches: Iterable[pa.RecordBatch], statements: tuple[str, ...], compa
         held += len(rows)
         if compact and held - summed > max(SHARD_ROWS, summed):
             con.execute(f"CREATE OR REPLACE TABLE part AS {compact}")
-            held = summed = con.execute("SELECT count(*) FROM part").fetchone()[0]
+            held = summed = con.execute("SELECT count(*) FROM part").fetchall()[0][0]
     if held:
         if compact:
             con.execute(f"CREATE OR REPLACE TABLE part AS {compact}")
