@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import decontamination, divergence, hard_negatives, license_scan, neardup
+from . import decontamination, divergence, hard_negatives, license_scan, neardup, ngram_join
 from .decontamination import op7_decontamination
 from .divergence import op11_source_divergence
 from .hard_negatives import op13_hard_negatives
 from .license_scan import op2_license_scan
 from .media import op4_telephony_audio
 from .neardup import op1_minhash_neardup
+from .ngram_join import op12_ngram_join
 from .pii import op3_pii
 from .quality import op6_weak_label_quality
 from .sentencepiece_stream import op5_sentencepiece
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable]:
         "op9_feistel_shards": op9_feistel_shards,
         "op10_toxicity": op10_toxicity,
         "op11_source_divergence": op11_source_divergence,
+        "op12_ngram_join": op12_ngram_join,
         "op13_hard_negatives": op13_hard_negatives,
     }
 
@@ -42,5 +44,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_license_scan": license_scan.oracle(),
         "op7_decontamination": decontamination.ORACLE_SQL,
         "op11_source_divergence": divergence.ORACLE_SQL,
+        "op12_ngram_join": ngram_join.ORACLE_SQL,
         "op13_hard_negatives": hard_negatives.ORACLE_SQL,
     }

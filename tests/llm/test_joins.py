@@ -11,11 +11,12 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
-from corpusloom.llm import divergence, hard_negatives
+from corpusloom.llm import divergence, hard_negatives, ngram_join
 
 DATA = "/root/testdata/sf0.001"
 
@@ -150,3 +151,134 @@ def test_shard_sums_as_it_fills(monkeypatch):
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 def test_divergence_sql(spark):
     against_sql(spark, divergence.op11_source_divergence, divergence.ORACLE_SQL)
+
+
+def joined(items, width=3, percent=90):
+    """doc_id, n_shingles, component_id by all pairs; ids are unique here."""
+    sets = {}
+    for i, t in items:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            common = len(sets[a] & sets[b])
+            if a < b and common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return sorted((i, len(sets[i]), find(i)) for i in sets)
+
+
+CLASHES = "doc_id long, text string, rep long, tree long, node long, n string, group string, component long, first string, members int, block int, side string"
+
+
+def texts(spark, items):
+    return spark.createDataFrame([(*x, 1, 2, 3, "n", "g", 4, "f", 5, 6, "s") for x in items], CLASHES)
+
+
+def near_copies(seed, many, chain=0.5):
+    """Texts that differ from an earlier one by one word to a tenth of their words."""
+    r = random.Random(seed)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 7))) for _ in range(300)]
+    items = []
+    for i in range(many):
+        if items and r.random() < 0.8:
+            w = (items[-1] if r.random() < chain else r.choice(items))[1].split()
+            for _ in range(r.randrange(0, 1 + len(w) // 40)):
+                at = r.randrange(len(w))
+                w[at : at + r.randrange(0, 2)] = [r.choice(words)] * r.randrange(0, 2)
+            items.append((i, " ".join(w)))
+        else:
+            items.append((i, " ".join(r.choice(words) for _ in range(r.choice([3, 8, 11, 12, 14, 20, 40, 90, 200, 500])))))
+    return items
+
+
+def test_ngram_join(spark):
+    odd = [(900, None), (901, ""), (902, " \t\n"), (903, "one"), (904, "ONE"), (905, "one two"), (906, "One  two"), (907, "one two three"), (908, "Étude naïve 日本 🙂"), (909, "étude naïve 日本 🙂")]
+    for seed in (1, 2):
+        items = near_copies(seed, 260) + odd
+        want = joined(items)
+        assert len({c for _, _, c in want}) < len(want) - 60
+        assert rows_of(ngram_join.jaccard_join(texts(spark, items).repartition(3)).drop("group")) == sorted(want, key=repr)
+    items = near_copies(5, 120)
+    for width, percent in ((1, 80), (5, 70)):
+        assert rows_of(ngram_join.jaccard_join(texts(spark, items), width, percent).drop("group")) == sorted(joined(items, width, percent), key=repr)
+
+
+def test_ngram_join_odd_rows(spark):
+    join = lambda items: rows_of(ngram_join.jaccard_join(texts(spark, items)).drop("group"))
+    assert join([]) == []
+    long = " ".join(f"w{k % 9973}x{k}" for k in range(40000))
+    assert join([(7, long), (3, long + " end"), (9, "w0x0 w1x1 w2x2")]) == [(3, 39999, 3), (7, 39998, 3), (9, 1, 9)]
+    text = " ".join(f"v{k}" for k in range(60))
+    rows = [(None, text), (None, text), (5, text), (5, "other words here"), (4, text + " z"), (None, "lone text of null id"), (None, None)]
+    assert join(rows) == sorted([(None, 58, 4), (None, 58, 4), (5, 58, 4), (5, 1, 5), (4, 59, 4), (None, 3, None), (None, 0, None)], key=repr)
+
+
+def test_trees_are_searched(spark, monkeypatch):
+    """A hot tree over many leaves: two rings of near copies whose members miss the smallest one."""
+    monkeypatch.setattr(ngram_join, "LEAF", 8)
+    monkeypatch.setattr(ngram_join, "TWIG", 3)
+    monkeypatch.setattr(ngram_join, "CONFIRM_BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "bounded", lambda frame, rows: frame)
+    base = [f"w{k}" for k in range(120)]
+    items = [(i, " ".join(w if k < 60 or (k - 60) // 2 != i % 30 else f"x{i}" for k, w in enumerate(base))) for i in range(90)]
+    items += [(100 + i, " ".join([*base[:40], *(f"y{k + i}" for k in range(80))])) for i in range(40)]
+    assert rows_of(ngram_join.jaccard_join(texts(spark, items)).drop("group")) == sorted(joined(items), key=repr)
+
+
+def test_tree_search_finds_all_links(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAF", 8)
+    monkeypatch.setattr(ngram_join, "TWIG", 3)
+    r, bands = np.random.default_rng(4), ngram_join.Bands.of(90)
+    pool = r.integers(1, 2**63, 9000).astype(np.uint64)
+    rows, sets = [], {}
+    for tree in (1, 2):
+        for rep in range(tree * 100, tree * 100 + 70):
+            core = pool[: 100 + rep % 7] if rep % 3 else pool[2000 : 2105]
+            at = r.choice(len(core), len(core) - int(r.integers(0, 9)), replace=False)
+            sets[rep] = np.sort(np.concatenate([core[at], pool[r.integers(5000, 9000, int(r.integers(0, 4)))]]))
+            band = int(bands.of_size(np.array([106]))[0])
+            rows.append(((tree << 8) | band, rep % 5 if tree == 1 else 7, len(sets[rep]), rep, bytearray(ngram_join.bitmap(sets[rep], 2 * int(bands.bits[band])).tobytes())))
+    frame = spark.createDataFrame(rows, "tree long, component long, n long, rep long, bitmap binary").repartition(3)
+    got = rows_of(ngram_join.search_trees(frame, bands))
+    assert len(got) == len(set(got))
+    across = {(a, b) for a in sets for b in sets if a < b < 200 and a % 5 != b % 5}
+    jaccard = lambda a, b: len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b]))
+    links = {(a, b) for a, b in across if jaccard(a, b) >= 0.9}
+    assert len(links) > 100 and links <= set(got) <= across
+    assert len(got) < 0.7 * len(across)
+
+
+def test_bounds_reject_no_link():
+    r = np.random.default_rng(1)
+    bands = ngram_join.Bands.of(90)
+    pool = r.integers(1, 2**63, 4000).astype(np.uint64)
+    for n in (9, 10, 12, 30, 200, 1500):
+        a = np.sort(pool[:n])
+        for extra in range(0, n // 9 + 2):
+            b = np.sort(np.concatenate([pool[extra : n], pool[3000 : 3000 + max(0, extra // 2)]]))
+            common = len(np.intersect1d(a, b))
+            link = 100 * common >= 90 * (len(a) + len(b) - common)
+            if not link:
+                continue
+            sizes = np.array([len(a), len(b)])
+            doc, names = ngram_join.tree_names(np.repeat([0, 1], sizes), np.concatenate([a, b]), sizes, bands)
+            assert extra == 0 or set(names[doc == 0]) & set(names[doc == 1])
+            bits = int(bands.bits[bands.of_size(sizes.max())])
+            maps = [ngram_join.folded(ngram_join.bitmap(x, 4 * bits), bits) for x in (a, b)]
+            assert (maps[0] == ngram_join.bitmap(a, bits)).all()
+            assert ngram_join.can_link(sizes[:1], sizes[1:], maps[0][None], maps[1][None], 90).all()
+            nodes = [ngram_join.Nodes.over(np.array([i]), sizes[i : i + 1], maps[i][None], np.zeros(1, int)) for i in (0, 1)]
+            assert ngram_join.may_hold_links(*nodes, 90).all()
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+def test_ngram_join_sql(spark):
+    against_sql(spark, ngram_join.op12_ngram_join, ngram_join.ORACLE_SQL)
