@@ -12,6 +12,8 @@ THRESHOLD = 0.85
 BITS = 128
 BANDS = 4
 MAX_HAMMING = int(BITS * (1 - THRESHOLD))
+#: Rows of one band value that meet others in one task.
+BLOCK = 4096
 
 
 def first_of(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -47,51 +49,80 @@ def hamming(a_hi: Column, a_lo: Column, b_hi: Column, b_lo: Column) -> Column:
 
 def bands(prints: DataFrame) -> DataFrame:
     """One row for each (id, band) with the band's 8 hex digits."""
+    return prints.select("id", "hi", "lo", F.posexplode(_values()).alias("band", "value"))
+
+
+def _facing(targets: DataFrame, candidates: DataFrame, block: int) -> DataFrame:
+    """``targets`` (as t) and ``candidates`` (as c) that share a band value. Both have hi and lo.
+
+    A value with more than ``block`` candidates is cut into blocks on both sides, and every
+    block meets every other in a group of its own, so that no task gets all rows of a value.
+    """
+    key = ["band", "value"]
+    t, c = (df.select("*", F.posexplode(_values()).alias(*key)) for df in (targets, candidates))
+    wide = c.groupBy(*key).agg(F.count("*").alias("n")).select(*key, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("hi", "lo"), "blocks").cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    t = t.join(wide, key).withColumn("t_block", mine).withColumn("c_block", each).alias("t")
+    c = c.join(wide, key).withColumn("c_block", mine).withColumn("t_block", each).alias("c")
+    same = F.lit(True)
+    for k in (*key, "t_block", "c_block"):
+        same = same & (F.col(f"t.{k}") == F.col(f"c.{k}"))
+    return t.join(c, same)
+
+
+def _values() -> Column:
     h = hex128(F.col("hi"), F.col("lo"))
-    values = F.array(*(F.substring(h, 1 + 8 * i, 8) for i in range(BANDS)))
-    return prints.select("id", "hi", "lo", F.posexplode(values).alias("band", "value"))
+    return F.array(*(F.substring(h, 1 + 8 * i, 8) for i in range(BANDS)))
+
 
+_DISTANCE = "bit_count(t.hi ^ c.hi) + bit_count(t.lo ^ c.lo)"
 
-def near_pairs(prints: DataFrame, max_hamming: int = MAX_HAMMING) -> DataFrame:
+
+def near_pairs(prints: DataFrame, max_hamming: int = MAX_HAMMING, block: int = BLOCK) -> DataFrame:
     """(id, older_id, distance) of pairs that share a band and are similar enough.
 
     Equal fingerprints are one class first, and the band join runs over classes, so a group
-    of copies contributes one row to each band; members follow by ``class_members``.
+    of copies contributes one row to each band.
     """
     classes = prints.groupBy("hi", "lo").agg(F.min("id").alias("id"))
-    b = bands(classes)
-    # Bands that only one class has can't pair.
-    shared = b.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").select("band", "value")
-    b = b.join(shared, ["band", "value"])
-    x, y = b.alias("x"), b.alias("y")
-    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") > F.col("y.id"))
-    distance = hamming(F.col("x.hi"), F.col("x.lo"), F.col("y.hi"), F.col("y.lo"))
     # A pair is taken in its first common band only, which spares a distinct.
     earlier = F.lit(False)
     for k in range(BANDS):
-        both = [F.substring(hex128(F.col(f"{s}.hi"), F.col(f"{s}.lo")), 1 + 8 * k, 8) for s in "xy"]
-        earlier = earlier | ((F.col("x.band") > k) & (both[0] == both[1]))
-    pairs = x.join(y, same & (distance <= max_hamming) & ~earlier)
-    return pairs.select(F.col("x.id").alias("id"), F.col("y.id").alias("older_id"), distance.alias("distance"))
+        both = [F.substring(hex128(F.col(f"{s}.hi"), F.col(f"{s}.lo")), 1 + 8 * k, 8) for s in "tc"]
+        earlier = earlier | ((F.col("t.band") > k) & (both[0] == both[1]))
+    pairs = _facing(classes, classes, block).where((F.col("t.id") > F.col("c.id")) & (F.expr(_DISTANCE) <= max_hamming) & ~earlier)
+    return pairs.select(F.col("t.id").alias("id"), F.col("c.id").alias("older_id"), F.expr(_DISTANCE).alias("distance"))
+
+
+def oldest_similar(prints: DataFrame, known: DataFrame | None = None, max_hamming: int = MAX_HAMMING, among: bool = True, block: int = BLOCK) -> DataFrame:
+    """(id, older_id, distance): for each of ``prints`` that has one, the oldest similar row (sharing
+    a band, near enough) of ``known``, or, with ``among``, of the earlier rows of ``prints``.
+
+    Both have id, created_at, hi, lo; age is created_at, then id, and all known rows are older.
+    Only minima leave the band join, never its pairs.
+    """
 
+    def aged(df: DataFrame, known_: bool) -> DataFrame:
+        age = F.struct(F.lit(not known_).alias("later"), "created_at", "id")
+        return df.select("hi", "lo", age.alias("age"), F.lit(known_ or among).alias("offered"), F.lit(not known_).alias("asks"))
 
-def class_members(prints: DataFrame) -> DataFrame:
-    """(id, class_id): documents with equal fingerprints share the smallest id."""
-    lead = prints.groupBy("hi", "lo").agg(F.min("id").alias("class_id"))
-    return prints.join(lead, ["hi", "lo"]).select("id", "class_id")
+    rows = aged(prints, False)
+    rows = rows if known is None else rows.unionByName(aged(known, True))
+    # Rows with equal fingerprints are one class: for others its oldest offered row stands for it.
+    classes = rows.groupBy("hi", "lo").agg(F.min(F.when(F.col("offered"), F.col("age"))).alias("oldest"), F.max(F.when(F.col("asks"), F.col("age"))).alias("newest"))
+    targets, offered = classes.where("newest is not null").select("hi", "lo", "newest"), classes.where("oldest is not null").select("hi", "lo", "oldest")
+    met = _facing(targets, offered, block).where((F.expr(_DISTANCE) <= max_hamming) & (F.col("c.oldest") < F.col("t.newest")))
+    best = met.groupBy(F.col("t.hi").alias("hi"), F.col("t.lo").alias("lo")).agg(F.min(F.struct(F.col("c.oldest").alias("age"), F.expr(_DISTANCE).alias("distance"))).alias("o"))
+    own = rows.where("asks").select("hi", "lo", "age").join(best, ["hi", "lo"])
+    return own.where("o.age < age").select("age.id", F.col("o.age.id").alias("older_id"), "o.distance")
 
 
 def near_marks(docs: DataFrame, max_hamming: int = MAX_HAMMING) -> DataFrame:
     """(id, duplicate_of, similarity) of documents with an older similar one: the oldest such."""
     # Read several times below, and dear to compute.
-    prints = stored(fingerprints(docs), "prints")
-    members = class_members(prints)
-    older = near_pairs(prints, max_hamming).groupBy("id").agg(F.min(F.struct("older_id", "distance")).alias("o"))
-    joined = members.join(older, members.class_id == older.id, "left").select(members.id, "class_id", "o")
-    own = F.when(F.col("id") != F.col("class_id"), F.struct(F.col("class_id").alias("older_id"), F.lit(0).alias("distance")))
-    best = F.least(F.col("o"), own)
-    marked = joined.withColumn("best", best).where("best is not null")
-    return marked.select("id", F.col("best.older_id").alias("duplicate_of"), F.round(1 - F.col("best.distance") / BITS, 4).alias("similarity"))
+    prints = stored(fingerprints(docs), "prints").withColumn("created_at", F.lit(0))
+    return oldest_similar(prints, max_hamming=max_hamming).select("id", F.col("older_id").alias("duplicate_of"), F.round(1 - F.col("distance") / BITS, 4).alias("similarity"))
 
 
 def roots(marks: DataFrame, rounds: int = 64) -> DataFrame:
@@ -118,10 +149,9 @@ def classify(incoming: DataFrame, known: DataFrame, max_hamming: int = MAX_HAMMI
     by_url = known.groupBy("url_hash").agg(F.min("id").alias("url_id"))
     step = incoming.join(by_hash, "content_hash", "left").join(by_url, "url_hash", "left")
     mine = step.where("hash_id is null and url_id is null").where(F.length("content_text") > 50)
-    a, b = bands(fingerprints(mine, 51)).alias("a"), bands(known.select("id", "hi", "lo").where("hi is not null")).alias("b")
-    same = (F.col("a.band") == F.col("b.band")) & (F.col("a.value") == F.col("b.value"))
-    distance = hamming(F.col("a.hi"), F.col("a.lo"), F.col("b.hi"), F.col("b.lo"))
-    close = a.join(b, same & (distance <= max_hamming)).groupBy(F.col("a.id").alias("id")).agg(F.min(F.struct(F.col("b.id").alias("near_id"), distance.alias("d"))).alias("near"))
+    aged = F.lit(0).alias("created_at")
+    close = oldest_similar(fingerprints(mine, 51).select("*", aged), known.where("hi is not null").select("id", "hi", "lo", aged), max_hamming, among=False)
+    close = close.select("id", F.struct(F.col("older_id").alias("near_id"), F.col("distance").alias("d")).alias("near"))
     out = step.join(close, "id", "left")
     method = (
         F.when(F.col("hash_id").isNotNull(), "exact_hash").when(F.col("url_id").isNotNull(), "url_hash")

@@ -14,6 +14,7 @@ from ..functions.python import clean_text, detect_language
 from ..operators import analytics, dedup, gates, qa, upsert
 from ..sources import landing, sinks
 from ..streaming import rounds
+from ..streaming.corpus import Corpus
 from . import entities as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -585,3 +586,81 @@ def tumbling_daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ttl_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = lambda s: rounds.first_seen(s.withColumn("ts", F.col("ts").cast("timestamp")), ["user_id", "event_type"], ttl="40 days").select("user_id", "event_type")
     return _round(spark, sf_dir, stream, "append")
+
+
+# A corpus over three rounds
+
+_URL = "https://site.example/d/"
+
+
+def _landed(spark: SparkSession, sf_dir: str, base: str) -> Corpus:
+    """Three rounds: every address lands three times, mostly with another text each time, and
+    the conversations' pairs land in the second and the third."""
+    corpus = Corpus(spark, f"{base}/corpus")
+    docs, pairs = E.documents(spark, sf_dir), E.pairs(spark, sf_dir)
+    address = F.floor(F.col("id") / 3)
+    named = F.concat(F.lit(_URL), address.cast("string"), F.lit("/#top"))
+    items = docs.select("id", "source_name", named.alias("url"), "content_text", "language", "date_scraped", address.alias("u"))
+    again = F.col("u") % 5 == 0
+    versions = (items.where("id % 3 = 0"), items.where(F.when(again, F.col("id") % 3 == 0).otherwise(F.col("id") % 3 == 1)), items.where("id % 3 = 2"))
+    replies = pairs.select(F.sha2(F.concat(F.lit(_URL), F.col("document_id").cast("string")), 256).alias("document_id"), "question", "answer", "llm_model", "date_generated")
+    replies.limit(0).write.parquet(f"{base}/pairs")
+    for number, version in enumerate(versions, 1):
+        version.drop("id", "u").write.mode("append").parquet(f"{base}/items")
+        if number > 1:
+            replies.write.mode("append").parquet(f"{base}/pairs")
+        corpus.run_round(number, f"{base}/items", f"{base}/pairs")
+    return corpus
+
+
+def _round_sql(r: int) -> str:
+    """State s{r} of every address after round r: its text's document d, that of its first one f."""
+    d = ("3 * u", "CASE WHEN u % 5 = 0 THEN 3 * u ELSE 3 * u + 1 END", "3 * u + 2")[r - 1]
+    return f"""i{r} AS (SELECT a.u, x.id AS d, x.content_hash AS h, x.source_name FROM (SELECT DISTINCT id // 3 AS u FROM docs) a JOIN docs x ON x.id = {d}
+  WHERE x.language = 'en' AND x.content_length >= 100 AND x.word_count >= 20),
+up{r} AS (SELECT s.u, CASE WHEN c THEN i.d ELSE s.d END AS d, CASE WHEN c THEN i.h ELSE s.h END AS h, s.f, s.dup, s.of_, CASE WHEN c THEN 'changed' ELSE s.method END AS method, CASE WHEN c THEN {r} ELSE s.chg END AS chg
+  FROM (SELECT s.*, NOT s.dup AND i.h IS DISTINCT FROM s.h AND i.h IS NOT NULL AS c FROM s{r - 1} s LEFT JOIN i{r} i ON i.u = s.u) s LEFT JOIN i{r} i ON i.u = s.u),
+n{r} AS (SELECT * FROM i{r} WHERE u NOT IN (SELECT u FROM s{r - 1})),
+e{r} AS (SELECT n.*, coalesce((SELECT arg_min(o.u, o.f) FROM up{r} o WHERE NOT o.dup AND o.h = n.h), (SELECT arg_min(o.u, o.d) FROM n{r} o WHERE o.h = n.h AND o.d < n.d)) AS same FROM n{r} n),
+r{r} AS (SELECT e.*, coalesce((SELECT arg_min(o.u, o.f) FROM up{r} o JOIN np ON np.b = o.d WHERE NOT o.dup AND np.a = e.d), (SELECT arg_min(o.u, o.d) FROM e{r} o JOIN np ON np.b = o.d WHERE o.same IS NULL AND o.d < e.d AND np.a = e.d)) AS near_
+  FROM e{r} e WHERE same IS NULL),
+s{r} AS (SELECT u, d, h, f, dup, of_, method, chg FROM up{r}
+  UNION ALL SELECT u, d, h, d, true, same, 'exact_hash', {r} FROM e{r} WHERE same IS NOT NULL
+  UNION ALL SELECT u, d, h, d, near_ IS NOT NULL, near_, CASE WHEN near_ IS NULL THEN 'unique' ELSE 'simhash' END, {r} FROM r{r})"""
+
+
+_ROUNDS = (
+    D, P, _PRINTS, _NEAR, "np AS (SELECT id AS a, older_id AS b FROM near UNION ALL SELECT older_id, id FROM near)",
+    "s0 AS (SELECT 0::BIGINT AS u, 0::BIGINT AS d, '' AS h, 0::BIGINT AS f, false AS dup, 0::BIGINT AS of_, '' AS method, 0 AS chg WHERE false)", *(_round_sql(r) for r in (1, 2, 3)),
+    # Pairs are answered by documents that were pending when a round began and did not change in it.
+    f"fit AS (SELECT document_id AS u, count(*) FILTER ({_OK}) AS n FROM pairs GROUP BY 1)",
+    "a2 AS (SELECT s1.u FROM s1 JOIN fit USING (u) JOIN s2 ON s2.u = s1.u WHERE NOT s1.dup AND s2.chg < 2)",
+    "a3 AS (SELECT s2.u FROM s2 JOIN fit USING (u) JOIN s3 ON s3.u = s2.u WHERE NOT s2.dup AND s3.chg < 3)",
+)
+
+
+@query(f"""SELECT sha256('{_URL}' || s.u) AS id, s.h AS content_hash, s.dup AS is_duplicate, sha256('{_URL}' || s.of_) AS duplicate_of, s.method, chg::BIGINT AS round_number,
+ CASE WHEN a.u IS NULL THEN 0 ELSE n END::BIGINT AS qa_count, CASE WHEN a.u IS NOT NULL THEN CASE WHEN n > 0 THEN 'qa_generated' ELSE 'qa_skipped' END WHEN s.method = 'changed' THEN 'stored' ELSE 'deduplicated' END AS pipeline_stage,
+ CASE WHEN NOT s.dup THEN x.content_length END AS content_length
+FROM s3 s JOIN docs x ON x.id = s.d LEFT JOIN a3 a ON a.u = s.u LEFT JOIN fit ON fit.u = s.u""", *_ROUNDS)
+def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents after three rounds of scraping beside pairs."""
+    docs = _landed(spark, sf_dir, f"{storage.shared_folder(spark)}/rounds-{uuid.uuid4().hex}").table("documents")
+    method = F.regexp_extract("method", "^[a-z_]+", 0)
+    return docs.select("id", "content_hash", "is_duplicate", "duplicate_of", method.alias("method"), "round_number", "qa_count", "pipeline_stage", F.length("content_text").cast("long").alias("content_length"))
+
+
+_LANDED = (
+    "landed(r, id, source_name) AS (SELECT 1, id, source_name FROM docs WHERE id % 3 = 0 UNION ALL SELECT 3, id, source_name FROM docs WHERE id % 3 = 2"
+    " UNION ALL SELECT 2, id, source_name FROM docs WHERE id % 3 = CASE WHEN (id // 3) % 5 = 0 THEN 0 ELSE 1 END)",
+    "states AS (" + " UNION ALL ".join(f"SELECT {r} AS r, i.u, s.dup, s.chg, (SELECT count(*) FROM s{r - 1} o WHERE o.u = i.u) AS was FROM i{r} i JOIN s{r} s USING (u)" for r in (1, 2, 3)) + ")",
+    "admitted AS (SELECT r, count(*) AS n, count(*) FILTER (NOT dup AND was = 0) AS stored, count(*) FILTER (dup) AS duplicates, count(*) FILTER (NOT dup AND was = 1 AND chg = r) AS changed, count(*) FILTER (NOT dup AND chg < r) AS unchanged FROM states GROUP BY 1)",
+)
+
+
+@query("""SELECT r::BIGINT AS round_number, 'completed' AS status, items, coalesce(stored, 0) AS stored, coalesce(duplicates, 0) AS duplicates, coalesce(changed, 0) AS changed, coalesce(unchanged, 0) AS unchanged,
+ items - coalesce(n, 0) AS rejected, sources
+FROM (SELECT r, count(*) AS items, string_agg(DISTINCT source_name, ',' ORDER BY source_name) AS sources FROM landed GROUP BY 1) LEFT JOIN admitted USING (r)""", *_ROUNDS, *_LANDED)
+def corpus_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the three rounds."""
+    return _landed(spark, sf_dir, f"{storage.shared_folder(spark)}/rounds-{uuid.uuid4().hex}").table("rounds")

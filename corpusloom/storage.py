@@ -44,3 +44,37 @@ def discard(*frames: DataFrame) -> None:
     for df in frames:
         for file in df.inputFiles()[:1]:
             remove(df.sparkSession, file.rpartition("/")[0])
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What stands in a folder, by name; nothing where there is no such folder."""
+    fs, at = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file, seen by readers whole or not at all."""
+    fs, at = _file_system(spark, path)
+    if fs.exists(at):
+        raise FileExistsError(path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.part-{uuid.uuid4().hex}")
+    stream = fs.create(part, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(part, at):
+        raise FileExistsError(path)
