@@ -34,7 +34,7 @@ from .textkit import groups, small_batches, stored, table, utf8_list
 
 LEAST_DOCS, TOP_TERMS = 10, 10
 #: Text counted at a time, and rows that a shard takes in before it sums them.
-PIECE_BYTES, SHARD_ROWS = 4 << 20, 1 << 20
+PIECE_BYTES, SHARD_ROWS, GATHERED_ROWS = 4 << 20, 1 << 20, 1 << 16
 
 #: Letters in lower case; every other ASCII byte a blank.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
@@ -110,13 +110,26 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from out.to_batches(max_chunksize=1 << 16)
 
 
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Small batches put together: a statement costs more than the rows of one."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= GATHERED_ROWS:
+            yield pa.Table.from_batches(held)
+            held, rows = [], 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
 def _shard(batches: Iterable[pa.RecordBatch], statements: tuple[str, ...], compact: str | None) -> Iterator[pa.RecordBatch]:
     """``statements`` over a shard's rows as the table ``part``, the last one's result; ``compact``
     shrinks what has come in so far."""
     con = _engine()
     held, summed = 0, 0
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
+    for rows in _gathered(batches):
         con.register("rows", rows)
         con.execute("INSERT INTO part SELECT * FROM rows" if held else "CREATE TABLE part AS SELECT * FROM rows")
         con.unregister("rows")

@@ -143,6 +143,7 @@ def test_shard_sums_as_it_fills(monkeypatch):
     import pyarrow as pa
 
     monkeypatch.setattr(divergence, "SHARD_ROWS", 10)
+    monkeypatch.setattr(divergence, "GATHERED_ROWS", 9)
     batches = [pa.RecordBatch.from_pydict({"lang": ["en"] * 8, "source": ["a"] * 8, "term": list("aabbccdd"), "n": [1] * 8, "docs": [1] * 8}) for _ in range(9)]
     (out,) = divergence._shard(batches, ("SELECT * FROM part ORDER BY term",), divergence._SUM)
     assert out.to_pydict()["term"] == list("abcd") and out.to_pydict()["n"] == [18] * 4
