@@ -663,4 +663,4 @@ _LANDED = (
 FROM (SELECT r, count(*) AS items, string_agg(DISTINCT source_name, ',' ORDER BY source_name) AS sources FROM landed GROUP BY 1) LEFT JOIN admitted USING (r)""", *_ROUNDS, *_LANDED)
 def corpus_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the three rounds."""
-    return _landed(spark, sf_dir, f"{storage.shared_folder(spark)}/rounds-{uuid.uuid4().hex}").table("rounds")
+    return _landed(spark, sf_dir, f"{storage.shared_folder(spark)}/rounds-{uuid.uuid4().hex}").table("rounds").drop("began")

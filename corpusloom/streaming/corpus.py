@@ -93,11 +93,10 @@ class Corpus:
     def run_round(self, number: int, items: str, pairs: str, files_per_trigger: int | None = None) -> str:
         """One round over what has landed in two folders of Parquet files since the last; its status.
 
-        A round that fails is kept as ``failed``, and what it committed stays; the next one goes
-        on after it.
+        A round that fails is kept as ``failed``, and what it committed stays. Run again under its
+        number it goes on as of its first beginning.
         """
-        began = self.snapshots.manifest().version
-        self._set_round(number, "running")
+        began = self._begin(number)
         streams = []
         try:
             for name, folder, schema, commit in (
@@ -113,16 +112,24 @@ class Corpus:
         except Exception:
             for s in streams:
                 s.stop()
-            self._set_round(number, "failed")
+            self._set_round(number, "failed", began)
             raise
-        self._set_round(number, status)
+        self._set_round(number, status, began)
         return status
 
-    def _set_round(self, number: int, status: str) -> None:
+    def _begin(self, number: int) -> int:
+        """The version that the round's documents are pending in, noted in its row as it starts."""
+        known = self.snapshots.read("rounds")
+        rows = [] if known is None else known.where((F.col("round_number") == number) & (F.col("status") != "completed")).select("began").collect()
+        began = rows[0].began if rows else self.snapshots.manifest().version
+        self._set_round(number, "running", began)
+        return began
+
+    def _set_round(self, number: int, status: str, began: int) -> None:
         """The round's row. Its sums are those of its log, committed with the documents."""
         log = self.snapshots.read("scrape_log")
         sums = ("items", "stored", "duplicates", "changed", "unchanged", "rejected")
-        row = self.spark.range(1).select(F.lit(number).cast("long").alias("round_number"), F.lit(status).alias("status"))
+        row = self.spark.range(1).select(F.lit(number).cast("long").alias("round_number"), F.lit(status).alias("status"), F.lit(began).cast("long").alias("began"))
         if log is None:
             row = row.select("*", *(F.lit(0).cast("long").alias(c) for c in sums), F.lit("").alias("sources"))
         else:
