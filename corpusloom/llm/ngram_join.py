@@ -338,13 +338,13 @@ def open_pair(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], same: bool,
 
 
 def _opened(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Two leaves a row (same, then components, sizes, reps, maps of each): the pairs of members
-    to confirm."""
+    """One leaf or two a row (components, sizes, reps, maps of each): the pairs of members to
+    confirm."""
     for batch in batches:
+        same = batch.num_columns == 4
         for row in range(batch.num_rows):
-            same = batch.column(0)[row].as_py()
             sides = []
-            for k in (1, 5):
+            for k in (0, 0) if same else (0, 4):
                 component, n, rep = (batch.column(k + i)[row].values.to_numpy() for i in range(3))
                 maps = np.frombuffer(batch.column(k + 3)[row].as_py(), dtype=np.uint64).reshape(len(n), -1)
                 sides.append(((component, n, maps), rep))
@@ -368,10 +368,13 @@ def search_trees(rows: DataFrame, bands: Bands) -> DataFrame:
     pairs = x.join(y, (F.col("x.tree") == F.col("y.tree")) & (F.col("x.node") <= F.col("y.node")) & fit & apart)
     pairs = pairs.select(F.col("x.node").alias("x"), F.col("y.node").alias("y"), *(F.col(f"{s}.{f}").alias(f"{s}_{f}") for s in "xy" for f in facts))
     pairs = stored(pairs.mapInArrow(lambda b: _prune(b, percent), "x long, y long"), "node-pairs")
-    whole = [leaves.select("node", *(F.col(c).alias(f"{s}_{c}") for c in ("components", "sizes", "reps", "maps"))) for s in "xy"]
-    opened = pairs.join(whole[0].withColumnRenamed("node", "x"), "x").join(whole[1].withColumnRenamed("node", "y"), "y")
-    opened = opened.select((F.col("x") == F.col("y")).alias("same"), *(f"{s}_{c}" for s in "xy" for c in ("components", "sizes", "reps", "maps")))
-    return opened.mapInArrow(lambda b: _opened(b, percent), "a long, b long").distinct()
+    n_pairs = pairs.count()
+    members = ["components", "sizes", "reps", "maps"]
+    alone = leaves.join(bounded(pairs.where("x = y").select(F.col("x").alias("node")), n_pairs), "node", "left_semi").select(*members)
+    x, y = (leaves.select(F.col("node").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in members)) for s in "xy")
+    opened = bounded(pairs.where("x <> y"), n_pairs).join(x, "x").join(y, "y").select(*(f"{s}_{c}" for s in "xy" for c in members))
+    inside, across = (f.mapInArrow(lambda b: _opened(b, percent), "a long, b long") for f in (alone, opened))
+    return inside.unionByName(across).distinct()
 
 
 def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -383,13 +386,13 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     sketch = stored(docs.mapInArrow(lambda x: _sketch(x, width, bands), "doc_id long, text_hash long, n long, h1 long, h2 long, trees array<long>"), "sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
-    classes = sketch.where("n > 0").groupBy("h1", "h2").agg(first, F.first("trees").alias("trees"))
+    classes = sketch.where("n > 0").groupBy("h1", "h2").agg(first, F.first("n").alias("n"), F.first("trees").alias("trees"))
     # Numbers are fixed by writing them.
     classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     met = Window.partitionBy("tree")
-    trees = classes.select(F.explode("trees").alias("tree"), "rep")
-    trees = trees.select("tree", "rep", F.min("rep").over(met).alias("centre"), F.count("*").over(met).alias("members")).where("members > 1")
+    trees = classes.select(F.explode("trees").alias("tree"), F.struct("rep", "n").alias("c"))
+    trees = trees.select("tree", "c.*", F.min("c").over(met).alias("centre"), F.count("*").over(met).alias("members")).where("members > 1")
     trees = stored(trees, "trees")
 
     involved = stored(classes.join(trees.select("rep").distinct(), "rep", "left_semi").select("rep", "first"), "involved")
@@ -399,13 +402,17 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     texts = d.join(c, one).select("rep", "text").dropDuplicates(["rep"])
     sets = stored(texts.mapInArrow(lambda x: _sets(x, width, bands), "rep long, n long, shingles array<long>, bitmap binary"), "sets")
 
-    stars = stored(trees.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    fit = (100 * F.col("n") >= percent * F.col("centre.n")) & (100 * F.col("centre.n") >= percent * F.col("n"))
+    stars = stored(trees.where((F.col("rep") != F.col("centre.rep")) & fit).select(F.col("centre.rep").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
     links = stored(confirm(stars, sets.select("rep", "shingles"), percent), "links")
     labels = connected_components(links)
 
-    # What is left: pairs of one tree, neither its smallest member, in different components.
+    # What is left: pairs of one tree, neither its smallest member, in different components. Near
+    # copies that miss the threshold meet in many trees: those with the same members are one.
     labelled = trees.where("members > 2").join(labels, F.col("rep") == F.col("node"), "left").select("tree", "rep", F.coalesce("component", "rep").alias("component"))
-    spread = labelled.groupBy("tree").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("tree")
+    members = [F.bit_xor(F.xxhash64("rep", F.lit(salt))).alias(f"m{salt}") for salt in (1, 2)]
+    spread = labelled.groupBy("tree").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m0"), *members).where("low < high")
+    spread = spread.groupBy("m0", "m1", "m2", F.pmod("tree", F.lit(256)).alias("band")).agg(F.min("tree").alias("tree")).select("tree")
     rows = labelled.join(spread, "tree").join(sets.select("rep", "n", "bitmap"), "rep").select("tree", "component", "n", "rep", "bitmap")
     more = search_trees(stored(rows, "spread"), bands)
     more = stored(confirm(stored(more, "candidates"), sets.select("rep", "shingles"), percent), "links")
