@@ -13,8 +13,9 @@ from ..functions import text as T
 from ..functions.python import clean_text, detect_language
 from ..operators import analytics, dedup, gates, qa, upsert
 from ..sources import landing, sinks
-from ..streaming import rounds
+from ..streaming import rounds, state
 from ..streaming.corpus import Corpus
+from ..streaming.snapshots import Change, Snapshots
 from . import entities as E
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -588,6 +589,70 @@ def ttl_dedup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(spark, sf_dir, stream, "append")
 
 
+def _in_rounds(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame, str], None]) -> str:
+    """Events land in four lots by time, and ``run`` takes each in as a round of its own, going on
+    from the checkpoint; the folder of it all."""
+    base = f"{storage.shared_folder(spark)}/events-{uuid.uuid4().hex}"
+    events = E.read(spark, sf_dir, "events")
+    for lot in range(4):
+        events.where(F.floor((F.dayofmonth("ts") - 1) / 8) == lot).write.mode("append").parquet(f"{base}/events")
+        run(rounds.events(spark, f"{base}/events"), base)
+    return base
+
+
+@query("SELECT * FROM state", _VISITS)
+def visited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of each address, kept by key over four rounds; each batch commits what it touched."""
+    tables: list[Snapshots] = []
+
+    def run(stream: DataFrame, base: str) -> None:
+        tables[:] = [Snapshots(spark, f"{base}/tables")]
+        visits = stream.select("event_id", "ts", F.col("user_id").cast("string").alias("url_hash"), F.col("event_type").alias("content_hash"))
+
+        def commit(batch: DataFrame, number: int) -> None:
+            tables[0].commit("visits", number, lambda: {"visited": Change(batch, key=["url_hash"])})
+
+        with state.rocksdb(spark):
+            q = state.visits(visits).writeStream.foreachBatch(commit).outputMode("update").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+            q.awaitTermination()
+
+    _in_rounds(spark, sf_dir, run)
+    return tables[0].read("visited")
+
+
+_TTL = """v AS (SELECT 'url' AS tier, user_id::VARCHAR AS key, event_id, ts, 3600 AS ttl FROM events UNION ALL SELECT 'content', user_id || ' ' || event_type, event_id, ts, 86400 FROM events),
+following AS (SELECT a.tier, a.key, a.event_id, a.ts, arg_min(b.event_id, (b.ts, b.event_id)) AS next_id FROM v a LEFT JOIN v b ON a.tier = b.tier AND a.key = b.key AND b.ts >= a.ts + to_seconds(a.ttl) GROUP BY ALL),
+let_in AS (SELECT tier, key, arg_min(event_id, (ts, event_id)) AS event_id FROM v GROUP BY ALL
+  UNION ALL SELECT f.tier, f.key, f.next_id FROM let_in JOIN following f USING (tier, key, event_id) WHERE f.next_id IS NOT NULL)"""
+
+
+@query("SELECT tier, key, count(*) AS admissions, max(event_id) AS last_event FROM let_in GROUP BY ALL", _TTL)
+def ttl_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each key was let in: again once it had been forgotten, an hour or a day after."""
+
+    def run(stream: DataFrame, base: str) -> None:
+        rows = stream.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias("url"), F.concat_ws(" ", F.col("user_id").cast("string"), "event_type").alias("content"))
+        with state.rocksdb(spark):
+            rounds.to_table(state.admitted(rows), f"{base}/admitted", f"{base}/state")
+
+    base = _in_rounds(spark, sf_dir, run)
+    return spark.read.parquet(f"{base}/admitted").groupBy("tier", "key").agg(F.count("*").alias("admissions"), F.max("event_id").alias("last_event"))
+
+
+@query("""SELECT event_type AS mode, min(ts) AS started, max(ts) AS last_beat, count(*) AS beats
+FROM (SELECT *, sum(new) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS run FROM (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY event_type ORDER BY ts, event_id) + INTERVAL 180 SECOND, true)::INT AS new FROM events))
+GROUP BY event_type, run HAVING max(ts) + INTERVAL 180 SECOND <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 180 SECOND FROM events)""")
+def beat_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of beats of each mode that are over by the time of the last event."""
+
+    def run(stream: DataFrame, base: str) -> None:
+        beats = stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("mode"))
+        rounds.to_table(rounds.sessions(beats, "mode"), f"{base}/sessions", f"{base}/state")
+
+    base = _in_rounds(spark, sf_dir, run)
+    return spark.read.parquet(f"{base}/sessions").select("mode", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "last_beat")), "beats")
+
+
 # A corpus over three rounds
 
 _URL = "https://site.example/d/"

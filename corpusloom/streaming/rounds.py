@@ -37,9 +37,16 @@ def daily_totals(stream: DataFrame, ts: str = "ts", late: str = "2 days") -> Dat
     return out.select(F.col("window.start").alias("day"), "event_type", "n", "total")
 
 
-def sessions(stream: DataFrame, key: str, ts: str = "ts", gap: str = "180 seconds") -> DataFrame:
-    """Runs of beats of a key without a gap longer than ``gap``."""
-    return stream.withWatermark(ts, gap).groupBy(F.session_window(F.col(ts), gap), key).agg(F.count("*").alias("beats"))
+def sessions(stream: DataFrame, key: str, ts: str = "ts", gap: str = "180 seconds", late: str = "180 seconds") -> DataFrame:
+    """Runs of beats of a key: started, last_beat and beats. A beat more than ``gap`` after the
+    one before begins another run.
+
+    In append mode a run comes out, and is forgotten, once the watermark (the newest beat less
+    ``late``) has passed its last beat by ``gap``; a beat that is older than the watermark of its
+    batch is dropped.
+    """
+    runs = stream.withWatermark(ts, late).groupBy(F.session_window(F.col(ts), gap).alias("w"), key)
+    return runs.agg(F.min(ts).alias("started"), F.max(ts).alias("last_beat"), F.count("*").alias("beats")).select(key, "started", "last_beat", "beats")
 
 
 def run_round(stream: DataFrame, commit: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
