@@ -5,11 +5,14 @@ is ``percent`` of their union or more. The search loses no link:
 
 1.  Equal sets are one class (partial aggregation; copies are never paired).
 2.  Classes are dealt to trees. Sizes fall into bands. Two sets whose larger one is in a band
-    differ in at most ``d`` shingles; the hash space is cut into ``d + 1`` segments, so in one of
-    them they agree wholly. A set goes to a tree for every segment of its band, named by what
-    it holds there, and if it is large enough also to those of the next band.
-3.  In each tree every class is first held against the smallest one only, on full sets, which is
-    linear in the tree's size; the links are contracted to components.
+    differ in at most ``d`` shingles; the hash space is cut into ``d + 1 + spare`` segments, so in
+    ``1 + spare`` of them they agree wholly. A set goes to a tree for every segment of its band,
+    named by what it holds there, and if it is large enough also to those of the next band. A
+    set with no more than ``spare`` empty segments leaves those out: two sets that agree in so
+    many agree in one that isn't empty.
+3.  In each tree every class is first held against the smallest one only, which is linear in the
+    tree's size: pairs that sizes and bitmaps allow, on full sets; links are contracted to
+    components.
 4.  A tree that still spans several components is searched by its nodes. Its leaves' members
     are in order of component and size, and every node holds the OR of its members' token
     bitmaps, their range of sizes and of components. Node pairs are pruned where sizes cannot
@@ -40,11 +43,11 @@ from pyspark.sql.window import Window
 from .components import connected_components
 from .native import bounded
 from .neardup import shingle_sets
-from .textkit import groups, mix64, small_batches, stored, table, utf8_list
+from .textkit import discard, groups, mix64, small_batches, stored, table, utf8_list
 
 WIDTH, PERCENT = 3, 90
 #: Bits of a bitmap for each shingle of the largest set of a band, at least.
-BITS_PER_SHINGLE = 4
+BITS_PER_SHINGLE = 2
 #: Members of a leaf that leaves one task whole, and of the nodes below it.
 LEAF, TWIG = 256, 16
 #: Pairs with one first member that a task confirms against one copy of its set.
@@ -60,6 +63,7 @@ class Bands:
     percent: int
     tops: np.ndarray
     segments: np.ndarray
+    spare: np.ndarray
     bits: np.ndarray
 
     @staticmethod
@@ -71,7 +75,9 @@ class Bands:
             tops.append(max(tops[-1] + 1, int((tops[-1] + 1) * growth)))
         top = np.array(tops, dtype=np.int64)
         bits = np.array([max(256, 1 << int(BITS_PER_SHINGLE * t - 1).bit_length()) for t in tops], dtype=np.int64)
-        return Bands(percent, top, 2 * top * (100 - percent) // (100 + percent) + 1, bits)
+        needed = 2 * top * (100 - percent) // (100 + percent) + 1
+        spare = np.minimum(6, needed // 20)
+        return Bands(percent, top, needed + spare, spare, bits)
 
     def of_size(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.tops, n, side="left")
@@ -99,18 +105,21 @@ def tree_names(doc: np.ndarray, shingles: np.ndarray, n: np.ndarray, bands: Band
         many = np.zeros(len(n), dtype=np.int64)
         many[into] = bands.segments[band[into]]
         first = np.cumsum(many) - many
-        sums = np.zeros(int(many.sum()), dtype=np.uint64)
+        sums, filled = np.zeros(int(many.sum()), dtype=np.uint64), np.zeros(int(many.sum()), dtype=bool)
         use = many[doc] > 0
         d = doc[use]
         cell = first[d] + (((shingles[use] >> np.uint64(32)) * many[d].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         if cell.size:
             starts = np.flatnonzero(np.diff(cell, prepend=-1))
             sums[cell[starts]] = np.add.reduceat(value[use], starts)
+            filled[cell] = True
         of = np.repeat(np.arange(len(n)), many)
         segment = (np.arange(len(sums)) - first[of]).astype(np.uint64)
         name = mix64(sums * _A + mix64(segment * _B + band[of].astype(np.uint64)))
-        docs.append(of)
-        names.append((name & ~np.uint64(0xFF)) | band[of].astype(np.uint64))
+        empty = many - np.bincount(of[filled], minlength=len(n))
+        goes = filled | (empty > bands.spare[band])[of]
+        docs.append(of[goes])
+        names.append(((name & ~np.uint64(0xFF)) | band[of].astype(np.uint64))[goes])
     if not docs:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     return np.concatenate(docs), np.concatenate(names)
@@ -251,6 +260,20 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(lambda x: _confirmed(x, percent), "a long, b long")
 
 
+def _possible(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """a, b, n_a, n_b, map_a, map_b: the pairs whose sets may link."""
+    for batch in batches:
+        n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+        maps = [[np.frombuffer(m, dtype=np.uint64) for m in batch.column(i).to_pylist()] for i in (4, 5)]
+        width = np.array([min(len(x), len(y)) for x, y in zip(*maps, strict=True)], dtype=np.int64)
+        keep = np.zeros(batch.num_rows, dtype=bool)
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            a, b = (np.stack([folded(side[i], 64 * int(w)) for i in at]) for side in maps)
+            keep[at] = can_link(n_a[at], n_b[at], a, b, percent)
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
+
+
 def _leaves(batches: Iterable[pa.RecordBatch], bands: Bands) -> Iterator[pa.RecordBatch]:
     """Rows tree, component, n, rep, bitmap in order: each tree's rows in leaves of LEAF."""
     task = TaskContext.get()
@@ -386,24 +409,40 @@ def jaccard_join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
     sketch = stored(docs.mapInArrow(lambda x: _sketch(x, width, bands), "doc_id long, text_hash long, n long, h1 long, h2 long, trees array<long>"), "sketch")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
-    classes = sketch.where("n > 0").groupBy("h1", "h2").agg(first, F.first("n").alias("n"), F.first("trees").alias("trees"))
+    classes = sketch.where("n > 0").groupBy("h1", "h2").agg(first, F.first("trees").alias("trees"))
     # Numbers are fixed by writing them.
-    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    wide = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "trees-by-class")
+    narrow, classes = stored(sketch.drop("trees"), "sketch"), stored(wide.drop("trees"), "classes")
+    discard(sketch)
+    sketch = narrow
 
     met = Window.partitionBy("tree")
-    trees = classes.select(F.explode("trees").alias("tree"), F.struct("rep", "n").alias("c"))
-    trees = trees.select("tree", "c.*", F.min("c").over(met).alias("centre"), F.count("*").over(met).alias("members")).where("members > 1")
+    trees = wide.select(F.explode("trees").alias("tree"), "rep")
+    trees = trees.select("tree", "rep", F.min("rep").over(met).alias("centre"), F.count("*").over(met).alias("members")).where("members > 1")
     trees = stored(trees, "trees")
-
-    involved = stored(classes.join(trees.select("rep").distinct(), "rep", "left_semi").select("rep", "first"), "involved")
-    d, c = docs.alias("d"), bounded(involved, involved.count()).alias("c")
-    one = F.col("d.doc_id").eqNullSafe(F.col("c.first.doc_id")) & (F.col("d.text_hash") == F.col("c.first.text_hash"))
-    # A row that repeats meets its class more than once.
-    texts = d.join(c, one).select("rep", "text").dropDuplicates(["rep"])
-    sets = stored(texts.mapInArrow(lambda x: _sets(x, width, bands), "rep long, n long, shingles array<long>, bitmap binary"), "sets")
-
-    fit = (100 * F.col("n") >= percent * F.col("centre.n")) & (100 * F.col("centre.n") >= percent * F.col("n"))
-    stars = stored(trees.where((F.col("rep") != F.col("centre.rep")) & fit).select(F.col("centre.rep").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    discard(wide)
+
+    involved = classes.join(trees.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    rows = sketch.select("doc_id", "text_hash").groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    involved = stored(involved.join(rows, same).select("rep", "first_id", "first_hash", "copies"), "involved")
+    n_involved = involved.count()
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        return docs.join(bounded(wanted, n_involved), same).select("rep", "text")
+
+    # Only a row that repeats meets its class more than once.
+    repeated = involved.where("copies > 1")
+    found = texts(involved.where("copies = 1"))
+    if not repeated.isEmpty():
+        found = found.unionByName(texts(repeated).dropDuplicates(["rep"]))
+    sets = stored(found.mapInArrow(lambda x: _sets(x, width, bands), "rep long, n long, shingles array<long>, bitmap binary"), "sets")
+
+    stars = trees.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    for side in "ab":
+        stars = stars.join(sets.select(F.col("rep").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"map_{side}")), side)
+    stars = stars.where((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a"))).select("a", "b", "n_a", "n_b", "map_a", "map_b")
+    stars = stored(stars.mapInArrow(lambda x: _possible(x, percent), "a long, b long"), "stars")
     links = stored(confirm(stars, sets.select("rep", "shingles"), percent), "links")
     labels = connected_components(links)
 
