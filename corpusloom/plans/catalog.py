@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
+from ..functions import dates, selectors
 from ..functions import text as T
 from ..functions.python import clean_text, detect_language
 from ..operators import analytics, dedup, gates, qa, upsert
 from ..sources import landing, sinks
+from ..sources.crawl import Crawl
 from ..streaming import rounds, state
 from ..streaming.corpus import Corpus
 from ..streaming.snapshots import Change, Snapshots
@@ -441,6 +443,92 @@ def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.agg(*over)
 
 
+# Five sources crawl the pages; a link leads to the page whose number its hash gives.
+_EDGES = """edges AS (SELECT p.page_id AS src, t.page_id AS dst, min(pos)::BIGINT AS pos FROM (SELECT page_id, l, pos FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS ls FROM pages), unnest(ls) WITH ORDINALITY u(l, pos)) p
+  JOIN pages t ON t.page_id = ('0x' || substr(md5(l), 1, 8))::BIGINT % (SELECT count(*) FROM pages) WHERE t.page_id <> p.page_id GROUP BY 1, 2),
+starts AS (SELECT 's' || (page_id % 5) AS source, page_id AS id, page_id // 5 AS pos FROM pages WHERE page_id < 10)"""
+
+
+def _crawl(spark: SparkSession, sf_dir: str) -> tuple[Crawl, DataFrame]:
+    """A crawl at its start, and pages whose links lead to pages of the table."""
+    pages = E.read(spark, sf_dir, "pages")
+    n = pages.agg(F.count("*").alias("n"))
+    found = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).alias("pos", "link")).crossJoin(F.broadcast(n))
+    found = found.select("page_id", "url", "pos", (F.conv(F.substring(F.md5("link"), 1, 8), 16, 10).cast("long") % F.col("n")).alias("to"))
+    target = pages.select(F.col("page_id").alias("to"), F.col("url").alias("target"))
+    linked = found.join(target, "to").groupBy("url").agg(F.array_sort(F.collect_list(F.struct("pos", "target"))).alias("links"))
+    linked = linked.select("url", F.transform("links", lambda x: x["target"]).alias("links"))
+    crawl = Crawl(spark, f"{storage.shared_folder(spark)}/crawl-{uuid.uuid4().hex}")
+    crawl.start(pages.where("page_id < 10").select(F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string")).alias("source"), "url", F.floor(F.col("page_id") / 5).alias("position")))
+    return crawl, storage.stored(linked, "links")
+
+
+@query("SELECT source, url, min(depth) AS depth FROM reach JOIN pages ON page_id = id GROUP BY 1, 2", _EDGES,
+       "reach(source, id, depth) AS (SELECT source, id, 0::BIGINT FROM starts UNION SELECT r.source, e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.id WHERE r.depth < 3)")
+def crawl_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far from its start addresses each source finds each page, up to three links."""
+    crawl, pages = _crawl(spark, sf_dir)
+    crawl.run(pages, F.col("links"), 4, max_depth=3)
+    return crawl.frontier().select("source", "url", "depth")
+
+
+def _crawl_sql(r: int) -> str:
+    """Frontier f{r} after round r, in which each source takes six pages."""
+    return f"""d{r} AS (SELECT f.* FROM f{r - 1} f JOIN pages p ON p.page_id = f.id WHERE taken IS NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY depth, pos, p.url) <= 6),
+m{r} AS (SELECT source, dst AS id, min({{'depth': d.depth + 1, 'pos': e.pos}}) AS k FROM d{r} d JOIN edges e ON e.src = d.id GROUP BY 1, 2),
+f{r} AS (SELECT f.source, f.id, f.depth, f.pos, f.found, CASE WHEN d.id IS NULL THEN f.taken ELSE {r} END AS taken FROM f{r - 1} f LEFT JOIN d{r} d USING (source, id)
+  UNION ALL SELECT source, id, k.depth, k.pos, {r}, NULL FROM m{r} WHERE (source, id) NOT IN (SELECT (source, id) FROM f{r - 1}))"""
+
+
+@query("SELECT source, url, depth, found::BIGINT AS found, taken::BIGINT AS taken FROM f4 JOIN pages ON page_id = id", _EDGES,
+       "f0 AS (SELECT source, id, 0::BIGINT AS depth, pos, 0 AS found, NULL::INT AS taken FROM starts)", *(_crawl_sql(r) for r in (1, 2, 3, 4)))
+def crawl_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frontier after four rounds of six pages for each source, two and two in runs of their own."""
+    crawl, pages = _crawl(spark, sf_dir)
+    crawl.run(pages, F.col("links"), 2, per_source=6)
+    again = Crawl(spark, crawl.snapshots.path)
+    again.run(pages, F.col("links"), 2, per_source=6)
+    return again.frontier().select("source", "url", "depth", "found", "taken")
+
+
+_PLAIN = r"trim(regexp_replace(replace(replace(replace(regexp_replace({}, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))"
+
+
+@query(rf"""SELECT page_id, CASE page_id % 3 WHEN 0 THEN {_PLAIN.format("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")} WHEN 1 THEN {_PLAIN.format("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")} ELSE '' END AS title,
+ CASE WHEN page_id % 3 = 1 THEN {_PLAIN.format("regexp_extract(html, '<div class=.ad.>(.*?)</div>', 1, 's')")} END AS advert,
+ CASE WHEN page_id % 3 = 0 THEN array_to_string(list_transform(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<a href="([^"]*)"', 1), lambda x: regexp_extract(url, '^https?://[^/?#]+') || x), ' ') END AS links,
+ CASE WHEN page_id % 3 = 2 THEN len(regexp_extract_all(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>')) END AS paragraphs FROM pages""")
+def selector_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields by the selectors of three sources; one asks for a title that its pages don't have."""
+    rows = [("s0", "title", "text", "article > h1"), ("s0", "links", "links", "nav ul li > a[href]"), ("s1", "title", "text", "head title"), ("s1", "advert", "text", "body > div.ad, div.banner"),
+            ("s2", "title", "text", "article h2#none"), ("s2", "paragraphs", "texts", "article p")]
+    table = spark.createDataFrame(rows, "source_name string, field string, kind string, selector string").withColumn("without", F.lit(None).cast("string"))
+    pages = E.read(spark, sf_dir, "pages").withColumn("source_name", F.concat(F.lit("s"), (F.col("page_id") % 3).cast("string")))
+    found = selectors.extract(pages, table)
+    paragraphs = F.when(F.col("lists")["paragraphs"].isNotNull(), F.size(F.col("lists")["paragraphs"]).cast("long"))
+    return found.select("page_id", F.col("values")["title"].alias("title"), F.col("values")["advert"].alias("advert"), F.array_join(F.col("lists")["links"], " ").alias("links"), paragraphs.alias("paragraphs"))
+
+
+#: How the date of an event may be written: Spark's pattern, DuckDB's, and the seconds that it keeps.
+_FORMS = (
+    ("yyyy-MM-dd'T'HH:mm:ss'Z'", 1), ("d MMMM yyyy, HH:mm", 60), ("MMMM d, yyyy h:mm a", 60), ("MM/dd/yyyy HH:mm:ss", 1), ("MMM d, yyyy", 86400), ("yyyyMMdd'T'HHmmss", 1),
+    ("d'th of' MMMM yyyy 'at' h a", 3600), ("yyyy/M/d", 86400), ("'Published: 'dd.MM.yyyy HH:mm' +02:00'", 60), ("MMM d yyyy HH:mm:ss' UTC'", 1),
+)
+
+
+@query("SELECT event_id, to_timestamp(CASE WHEN event_id % 13 = 11 THEN epoch(TIMESTAMP '2024-06-01 12:00:00') - 3600 * (event_id % 50) WHEN event_id % 13 = 12 THEN epoch(TIMESTAMP '2024-05-31 00:00:00') WHEN event_id % 13 = 10 THEN NULL ELSE floor(epoch(ts) / k) * k - CASE WHEN event_id % 13 = 8 AND day(ts) <= 12 THEN epoch(date_trunc('day', ts)) - epoch(make_date(2024, day(ts), 1)) ELSE 0 END - CASE WHEN event_id % 13 = 8 THEN 7200 ELSE 0 END END) AT TIME ZONE 'UTC' AS read FROM (SELECT *, ["
+       + ", ".join(str(s) for _, s in _FORMS) + "][event_id % 13 + 1] AS k FROM events)")
+def date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times of events, written in a dozen ways inside a sentence, read back."""
+    ts, form = F.col("ts"), F.col("event_id") % 13
+    text = F.when(form == 10, "no date here, only 12 monkeys").when(form == 11, F.concat((F.col("event_id") % 50).cast("string"), F.lit(" hours ago"))).when(form == 12, "Yesterday")
+    for k, (pattern, _) in enumerate(_FORMS):
+        text = F.when(form == k, F.date_format(ts, pattern)).otherwise(text)
+    as_of = F.lit("2024-06-01 12:00:00").cast("timestamp")
+    said = F.concat(F.lit("Posted on "), text, F.lit(" by user 77"))
+    return E.read(spark, sf_dir, "events").select("event_id", dates.read(said, as_of).cast("timestamp_ntz").alias("read"))
+
+
 # Lookups, lists and the rows of rounds
 
 _AS_OF = "2024-01-01 12:00:00"

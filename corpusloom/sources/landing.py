@@ -8,8 +8,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..functions import text as T
-from ..functions.python import absolute_links, clean_text, html_page
+from ..functions.python import clean_text, html_page
+from ..functions.selectors import by_field, extract, page_fields
 from ..schemas import COMMENTS, LISTING, SOURCES
 
 MIN_ARTICLE, MIN_THREAD, MIN_POST, MAX_THREAD_PAGES, MAX_RECORDS = 100, 50, 15, 15, 200
@@ -32,13 +34,43 @@ def roster(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, SOURCES)
 
 
-def articles(pages: DataFrame) -> DataFrame:
-    """page_id, url, title, content_text, links of pages (page_id, url, html) whose article has
-    MIN_ARTICLE characters or more."""
-    parsed = pages.select("page_id", "url", html_page("html").alias("p"))
-    out = parsed.where("p.content <> ''").select(
-        "page_id", "url", clean_text(T.strip_html(F.col("p.title"))).alias("title"), clean_text(T.strip_html(F.col("p.content"))).alias("content_text"),
-        F.try_to_timestamp("p.time").alias("date_published"), absolute_links("url", "p.links").alias("links"),
+# Where an article's parts are, unless a source says otherwise, and what isn't part of its content.
+UNWANTED = (
+    "script, style, .ad, .advertisement, .social-share, .related, nav, .comments, .wp-block-embed, form, select, option, button, input, label"
+)
+ARTICLE = (
+    ("title", "text", "h1", None), ("content", "html", "article, div.content", UNWANTED), ("date", "date", "time", None),
+    ("author", "text", "", None), ("links", "links", "a", None),
+)
+
+
+def article_selectors(own: DataFrame, sources: DataFrame) -> DataFrame:
+    """source_name, field, kind, selector, without of every source (source_name): those of ARTICLE,
+    with the selectors of ``own`` (source_name, field, selector) in place of theirs. A field whose
+    selector is empty is left out."""
+    usual = sources.sparkSession.createDataFrame(list(ARTICLE), "field string, kind string, usual string, without string")
+    each = sources.select("source_name").distinct().crossJoin(F.broadcast(usual))
+    given = own.select("source_name", "field", "selector")
+    return each.join(given, ["source_name", "field"], "left").withColumn("selector", F.coalesce("selector", "usual")).where("selector <> ''").drop("usual")
+
+
+def articles(pages: DataFrame, selectors: DataFrame | None = None) -> DataFrame:
+    """page_id, url, title, content_text, date_published, author, links of pages (page_id, url, html)
+    whose article has MIN_ARTICLE characters or more.
+
+    With ``selectors`` (see ``article_selectors``) pages have source_name too, and each page's
+    parts are where its source says; the page is parsed once for all of them.
+    """
+    if selectors is None:
+        wanted = F.array(*(F.struct(*(F.lit(v).cast("string").alias(n) for n, v in zip(("field", "kind", "selector", "without"), row, strict=True))) for row in ARTICLE if row[2]))
+        found = pages.select("page_id", "url", page_fields("html", "url", wanted).alias("f"))
+        found = found.select("page_id", "url", by_field("f", "value").alias("values"), by_field("f", "values").alias("lists"))
+    else:
+        found = extract(pages.select("page_id", "url", "html", "source_name"), selectors)
+    value = lambda name: F.col("values")[name]
+    out = found.select(
+        "page_id", "url", value("title").alias("title"), clean_text(T.strip_html(value("content"))).alias("content_text"),
+        dates.read(value("date")).alias("date_published"), F.coalesce(value("author"), F.lit("")).alias("author"), F.coalesce(F.col("lists")["links"], F.array().cast("array<string>")).alias("links"),
     )
     return out.where(F.length("content_text") >= MIN_ARTICLE)
 
