@@ -47,7 +47,7 @@ from .textkit import discard, groups, mix64, small_batches, stored, table, utf8_
 
 WIDTH, PERCENT = 3, 90
 #: Bits of a bitmap for each shingle of the largest set of a band, at least.
-BITS_PER_SHINGLE = 2
+BITS_PER_SHINGLE = 8
 #: Members of a leaf that leaves one task whole, and of the nodes below it.
 LEAF, TWIG = 256, 16
 #: Pairs with one first member that a task confirms against one copy of its set.
@@ -365,6 +365,7 @@ def _opened(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
     confirm."""
     for batch in batches:
         same = batch.num_columns == 4
+        pairs = [np.empty((0, 2), dtype=np.int64)]
         for row in range(batch.num_rows):
             sides = []
             for k in (0, 0) if same else (0, 4):
@@ -372,8 +373,10 @@ def _opened(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 maps = np.frombuffer(batch.column(k + 3)[row].as_py(), dtype=np.uint64).reshape(len(n), -1)
                 sides.append(((component, n, maps), rep))
             a, b = open_pair(sides[0][0], sides[1][0], same, percent)
-            a, b = sides[0][1][a], sides[1][1][b]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            pairs.append(np.sort(np.stack([sides[0][1][a], sides[1][1][b]], axis=1), axis=1))
+        # Near copies meet in many trees.
+        found = np.unique(np.concatenate(pairs), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
 
 def search_trees(rows: DataFrame, bands: Bands) -> DataFrame:
