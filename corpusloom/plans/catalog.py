@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
-from ..functions import dates, selectors
+from ..functions import dates, language, selectors
 from ..functions import text as T
 from ..functions.python import clean_text, detect_language
 from ..operators import analytics, dedup, gates, qa, upsert
@@ -655,6 +655,31 @@ def language_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.groupBy("language").agg(F.count("*").alias("n"), F.count_if(F.col("found") == F.col("language")).alias("agree"))
 
 
+_GRAMS = r"""letters AS (SELECT id, language, content_length, ' ' || trim(regexp_replace(lower(substr(content_text, 1, 2000)), '[^\p{L}]+', ' ', 'g')) || ' ' AS t FROM docs),
+gram AS (SELECT id, language, content_length, substr(t, i, n) AS g, count(*) AS k FROM (SELECT *, unnest(range(1, length(t) - n + 2)) AS i FROM (SELECT *, unnest([1, 2, 3, 4]) AS n FROM letters WHERE trim(t) <> '')) GROUP BY ALL),
+profile AS (SELECT language AS lang, g, sum(k)::BIGINT AS n, (row_number() OVER (PARTITION BY language ORDER BY sum(k) DESC, g))::INT AS rank FROM gram WHERE id % 5 <> 0 GROUP BY 1, 2 QUALIFY rank <= 300)"""
+
+
+@query("SELECT lang, g AS gram, n, rank FROM profile", D, _GRAMS)
+def language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profiles of four in five documents."""
+    return language.profiles(E.documents(spark, sf_dir).where("id % 5 <> 0"), "language", "content_text")
+
+
+@query("""SELECT language, count(*) AS n, count(*) FILTER (language = found) AS agree FROM (
+  SELECT d.id, d.language, CASE WHEN d.content_length < 50 THEN 'en' ELSE coalesce(arg_max(lang, (score, lang = 'en', -rank_of)), 'en') END AS found
+  FROM docs d LEFT JOIN (SELECT id, s.lang, s.rank_of, sum(k * floor(1000 * ln((coalesce(p.n, 0) + 1) / s.size) + 0.5))::BIGINT AS score
+    FROM (SELECT * FROM gram WHERE id % 5 = 0 AND g IN (SELECT g FROM profile)) x
+    CROSS JOIN (SELECT lang, sum(n) + count(*) AS size, row_number() OVER (ORDER BY lang) AS rank_of FROM profile GROUP BY 1) s LEFT JOIN profile p ON p.lang = s.lang AND p.g = x.g GROUP BY ALL) y USING (id)
+  WHERE d.id % 5 = 0 GROUP BY d.id, d.language, d.content_length) GROUP BY 1""", D, _GRAMS)
+def language_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the language found by those profiles is the given one, on the other fifth."""
+    docs = E.documents(spark, sf_dir)
+    detector = language.Detector(language.profiles(docs.where("id % 5 <> 0"), "language", "content_text"))
+    held = docs.where("id % 5 = 0").select("language", detector.detect(F.col("content_text")).alias("found"))
+    return held.groupBy("language").agg(F.count("*").alias("n"), F.count_if(F.col("found") == F.col("language")).alias("agree"))
+
+
 # Streams
 
 
