@@ -14,11 +14,11 @@ stand anywhere else in the text; without an offset times are UTC. Text around al
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 #: Month names and their abbreviations in the four languages of the corpora, by month.
 MONTHS = (
     ("january", "janvier", "januar", "enero", "jan", "janv", "ene"),
@@ -61,11 +61,6 @@ _GROUPS = {
 }
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _month(name: Column) -> Column:
     out = F.lit(None).cast("int")
     for number, names in reversed(list(enumerate(MONTHS, 1))):
@@ -80,7 +75,7 @@ def read(text: Column, as_of: Column | None = None, day_first: bool = False) ->
     def found(low: Column) -> Column:
         return F.struct(*(F.regexp_extract(low, pattern, group).alias(name) for name, (pattern, group) in _GROUPS.items()))
 
-    return _let(F.lower(text), lambda low: _let(found(low), lambda m: _let(_parts(m, as_of, day_first), lambda p: _time(p, as_of))))
+    return let(F.lower(text), lambda low: let(found(low), lambda m: let(_parts(m, as_of, day_first), lambda p: _time(p, as_of))))
 
 
 def _parts(m: Column, as_of: Column, day_first: bool) -> Column:

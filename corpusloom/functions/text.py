@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNICODE_SPACE = r"(?U)\s+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once for each row, also inside branches."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def word_count(text: Column) -> Column:
     """Whitespace-separated tokens; null and blank have none."""
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), UNICODE_SPACE), lambda w: w != ""))
@@ -103,15 +110,15 @@ TECHNICAL_TERMS = (
 
 def term_hits(text: Column, terms: tuple[str, ...] = TECHNICAL_TERMS) -> Column:
     """How many of the terms occur in a lower-cased text."""
-    low = F.lower(text)
-    return sum((F.contains(low, F.lit(t)).cast("int") for t in terms), F.lit(0))
+    return let(F.lower(text), lambda low: sum((F.contains(low, F.lit(t)).cast("int") for t in terms), F.lit(0)))
 
 
-def content_quality(text: Column, words: Column | None = None) -> Column:
-    """Estimate between 0 and 1 from the number of words and of technical terms."""
+def content_quality(text: Column, words: Column | None = None, hits: Column | None = None) -> Column:
+    """Estimate between 0 and 1 from the number of words and of technical terms, which are counted
+    unless given."""
     n = word_count(text) if words is None else words
     base = F.when(n < 50, 0.2).when(n < 200, 0.4).when(n < 500, 0.6).otherwise(0.8)
-    full = F.least(F.lit(1.0), base + F.least(F.lit(0.2), term_hits(text) * 0.02))
+    full = F.least(F.lit(1.0), base + F.least(F.lit(0.2), (term_hits(text) if hits is None else hits) * 0.02))
     return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, 0.0).when(n < 20, 0.1).otherwise(full)
 
 
@@ -157,13 +164,15 @@ def _first_in(low: Column, names: list[str]) -> Column:
 
 def vehicle_brand(text: Column) -> Column:
     """The first brand of the list that occurs anywhere in the text, else empty."""
-    return _first_in(F.lower(text), list(VEHICLES))
+    return let(F.lower(text), lambda low: _first_in(low, list(VEHICLES)))
 
 
 def vehicle_model(text: Column, brand: Column) -> Column:
     """The first model of that brand that occurs in the text, else empty."""
-    low = F.lower(text)
-    return F.coalesce(*(F.when(brand == b, _first_in(low, models)) for b, models in VEHICLES.items()), F.lit(""))
+    def model(low: Column) -> Column:
+        return F.coalesce(*(F.when(brand == b, _first_in(low, models)) for b, models in VEHICLES.items()), F.lit(""))
+
+    return let(F.lower(text), model)
 
 
 def vehicle_year(text: Column) -> Column:
@@ -175,7 +184,7 @@ LEAKS = (
     "the post", "the text", "the author", "the comment", "this post", "this text", "this comment", "the user",
     "the discussion", "the thread", "the article", "mentioned", "someone says", "the passage",
 )
-MIN_QUESTION = 60
+MIN_QUESTION, MIN_ANSWER = 60, 20
 
 
 def acceptable_question(question: Column, shortest: int = MIN_QUESTION) -> Column:
@@ -183,7 +192,7 @@ def acceptable_question(question: Column, shortest: int = MIN_QUESTION) -> Colum
 
 
 def acceptable_answer(answer: Column) -> Column:
-    return F.length(F.trim(answer)) > 20
+    return F.length(F.regexp_replace(answer, r"(?U)^\s+|\s+$", "")) > MIN_ANSWER
 
 
 # Signs of a page that stands before the real one.

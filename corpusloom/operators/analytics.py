@@ -116,8 +116,14 @@ def rounds(logs: DataFrame) -> DataFrame:
     )
 
 
-def live_round(logs: DataFrame, number: int) -> DataFrame:
-    return logs.where(F.col("round_number") == number).agg(
+def live_round(logs: DataFrame, number: int | None = None) -> DataFrame:
+    """Counts of one round, the newest unless a number is given."""
+    if number is None:
+        newest = logs.agg(F.max("round_number").alias("round_number"))
+        logs = logs.join(F.broadcast(newest), "round_number")
+    else:
+        logs = logs.where(F.col("round_number") == number)
+    return logs.agg(
         F.count("*").alias("documents"), F.sum("errors").alias("errors"), F.countDistinct("source_name").alias("sources"), F.max("started_at").alias("last_seen")
     )
 
@@ -191,7 +197,7 @@ def iso(ts: Column) -> Column:
 
 def cached_hashes(seen: DataFrame, as_of: Column, seconds: int) -> DataFrame:
     """The hashes (hash, id, ts) still remembered at a time: the latest id of each."""
-    live = seen.where(F.unix_timestamp(as_of) - F.unix_timestamp("ts") < seconds)
+    live = seen.where(F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp")) < F.lit(seconds * 1_000_000))
     return live.groupBy("hash").agg(F.max_by("id", F.struct("ts", "id")).alias("id"))
 
 

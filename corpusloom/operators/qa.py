@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.python import qa_pairs
+from ..functions.python import parse_pairs, qa_pairs
 
 MIN_PAIRS = 3
 CONTEXT_CHARS = 4000
@@ -107,10 +108,46 @@ def flat_records(pairs: DataFrame) -> DataFrame:
     )
 
 
-def chat_records(pairs: DataFrame) -> DataFrame:
-    """The chat export record: messages of user and assistant."""
+def chat_records(pairs: DataFrame, *keep: str) -> DataFrame:
+    """The chat export record: messages of user and assistant, after the columns ``keep``."""
 
     def message(role: str, column: str):  # noqa: ANN202
         return F.struct(F.lit(role).alias("role"), F.col(column).alias("content"))
 
-    return pairs.select(F.array(message("user", "question"), message("assistant", "answer")).alias("messages"))
+    return pairs.select(*keep, F.array(message("user", "question"), message("assistant", "answer")).alias("messages"))
+
+
+@F.udtf(returnType="question string, answer string, status string")
+class ReplyPairs:
+    """The rows of one reply, for lateral use: each pair with the status ``kept`` or ``unfit``; one
+    row ``empty`` for a reply without pairs, and one ``failed`` for a failed call."""
+
+    def eval(self, reply: str, status: str) -> Iterator[tuple[str | None, str | None, str]]:
+        if status == "failed":
+            yield None, None, "failed"
+            return
+        found = parse_pairs(reply)
+        for question, answer in found:
+            yield question, answer, "kept" if fit(question, answer) else "unfit"
+        if not found:
+            yield None, None, "empty"
+
+
+_LEAK = re.compile(rf"\b({'|'.join(T.LEAKS)})\b", re.I | re.A)
+
+
+def fit(question: str, answer: str) -> bool:
+    """``acceptable`` for one pair."""
+    return len(question) >= T.MIN_QUESTION and not _LEAK.search(question) and len(answer.strip()) > T.MIN_ANSWER
+
+
+def reply_rows(replies: DataFrame) -> DataFrame:
+    """``replies`` (id, reply, status) with the rows of ``ReplyPairs`` beside them: id, question,
+    answer, status."""
+    rows = ReplyPairs(F.col("reply").outer(), F.col("status").outer())
+    return replies.select("id", "reply", "status").lateralJoin(rows.alias("r")).select("id", "r.question", "r.answer", "r.status")
+
+
+def outcomes(rows: DataFrame) -> DataFrame:
+    """Replies and pairs by status over ``reply_rows``."""
+    return rows.groupBy("status").agg(F.countDistinct("id").alias("replies"), F.count("question").alias("pairs"))

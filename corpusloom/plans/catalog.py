@@ -13,7 +13,7 @@ from ..functions import dates, language, selectors
 from ..functions import text as T
 from ..functions.python import clean_text, detect_language
 from ..operators import analytics, dedup, gates, qa, upsert
-from ..sources import landing, sinks
+from ..sources import indexed, landing, sinks
 from ..sources.crawl import Crawl
 from ..streaming import rounds, state
 from ..streaming.corpus import Corpus
@@ -64,7 +64,8 @@ _QUALITY = f"CASE WHEN content_text IS NULL OR content_text = '' THEN 0.0 WHEN w
 @query(f"SELECT id, round({_QUALITY}, 4)::DOUBLE AS quality, ({_TERMS})::BIGINT AS hits FROM docs", D)
 def content_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("content_text")
-    return E.documents(spark, sf_dir).select("id", F.round(T.content_quality(text, F.col("word_count")), 4).alias("quality"), T.term_hits(text).cast("long").alias("hits"))
+    docs = E.documents(spark, sf_dir).withColumn("hits", T.term_hits(text).cast("long"))
+    return docs.select("id", F.round(T.content_quality(text, F.col("word_count"), F.col("hits")), 4).alias("quality"), "hits")
 
 
 @query(f"SELECT l.quality AS label, count(*) AS n, round(avg(({_QUALITY})::DOUBLE), 6) AS mean_quality FROM docs JOIN labels l ON l.doc_id = docs.id GROUP BY 1", D)
@@ -281,9 +282,7 @@ def qa_export_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT document_id, turn, '{"messages":' || to_json([{'role': 'user', 'content': question}, {'role': 'assistant', 'content': answer}]) || '}' AS record FROM pairs""", P)
 def qa_export_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = E.pairs(spark, sf_dir)
-    message = F.array(*(F.struct(F.lit(r).alias("role"), F.col(c).alias("content")) for r, c in (("user", "question"), ("assistant", "answer"))))
-    return pairs.select("document_id", "turn", F.to_json(F.struct(message.alias("messages"))).alias("record"))
+    return qa.chat_records(E.pairs(spark, sf_dir), "document_id", "turn").select("document_id", "turn", F.to_json(F.struct("messages")).alias("record"))
 
 
 @query(f"SELECT id, content_length, round(({_QUALITY})::DOUBLE, 4) AS quality_score FROM marked WHERE NOT is_duplicate AND qa_count = 0 AND word_count >= 20 AND content_length >= 100 ORDER BY round(({_QUALITY})::DOUBLE, 4) DESC NULLS LAST, content_length DESC, id LIMIT 25", D, P, M)
@@ -306,6 +305,17 @@ def document_with_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(pairs, F.col("id") == F.col("document_id"), "left").select("id", F.coalesce("pairs", F.lit(0)).alias("pairs"))
 
 
+@query(f"""SELECT document_id AS id, question, answer, CASE WHEN {_OK} THEN 'kept' ELSE 'unfit' END AS status FROM pairs WHERE document_id % 4 <> 3
+UNION ALL SELECT DISTINCT document_id, NULL, NULL, CASE WHEN document_id % 8 = 7 THEN 'failed' ELSE 'empty' END FROM pairs WHERE document_id % 4 = 3""", P)
+def reply_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies in several forms, some failed or empty, to rows by the table function."""
+    pairs = E.pairs(spark, sf_dir).groupBy(F.col("document_id").alias("id")).agg(F.to_json(F.array_sort(F.collect_list(F.struct("question", "answer")))).alias("a"))
+    form = F.col("id") % 4
+    reply = F.when(form == 0, F.col("a")).when(form == 1, F.concat(F.lit("```json\n"), "a", F.lit("\n```"))).when(form == 2, F.concat(F.lit('{"note": 1, "pairs": '), "a", F.lit("}"))).otherwise("no pairs here")
+    replies = pairs.select("id", reply.alias("reply"), F.when(F.col("id") % 8 == 7, "failed").otherwise("done").alias("status"))
+    return qa.reply_rows(replies)
+
+
 # Writes
 
 
@@ -364,8 +374,7 @@ def round_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS documents, sum(errors)::BIGINT AS errors, count(DISTINCT source_name) AS sources, max(started_at) AS last_seen FROM logs WHERE round_number = (SELECT max(round_number) FROM logs)", L)
 def live_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    logs = E.logs(spark, sf_dir)
-    return analytics.live_round(logs, logs.agg(F.coalesce(F.max("round_number"), F.lit(0))).first()[0])
+    return analytics.live_round(E.logs(spark, sf_dir))
 
 
 @query("SELECT round_number, CASE WHEN round_number = 30 THEN 'running' WHEN round_number % 7 = 0 THEN 'interrupted' ELSE 'completed' END AS status FROM (SELECT DISTINCT round_number FROM logs)", L)
@@ -568,6 +577,16 @@ def document_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "source_name", "content_length")
 
 
+@query("SELECT id, source_name, content_length FROM marked WHERE NOT is_duplicate AND content_hash IN (SELECT content_hash FROM docs WHERE id < 60 AND id % 2 = 1)", D, P, M)
+def lookup_by_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The originals with the contents of thirty documents, from files laid out for lookups."""
+    path = f"{storage.shared_folder(spark)}/indexed-{uuid.uuid4().hex}"
+    docs = dedup.exact(E.documents(spark, sf_dir)).withColumn("url_hash", F.sha2(F.col("id").cast("string"), 256))
+    indexed.write(docs.drop("content_text"), path, "url_hash", ("content_hash",))
+    keys = [r[0] for r in E.documents(spark, sf_dir).where("id < 60 and id % 2 = 1").select("content_hash").collect()]
+    return indexed.lookup(indexed.read(spark, path), "content_hash", keys).where("not is_duplicate").select("id", "source_name", "content_length")
+
+
 @query("SELECT event_type AS hash, arg_max(event_id, (ts, event_id)) AS id FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 1 DAY AND ts <= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1")
 def cached_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hashes remembered for a day, at a time in the middle of the events."""
