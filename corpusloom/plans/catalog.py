@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -309,11 +310,14 @@ def document_with_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 UNION ALL SELECT DISTINCT document_id, NULL, NULL, CASE WHEN document_id % 8 = 7 THEN 'failed' ELSE 'empty' END FROM pairs WHERE document_id % 4 = 3""", P)
 def reply_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies in several forms, some failed or empty, to rows by the table function."""
+    return qa.reply_rows(_replies(spark, sf_dir))
+
+
+def _replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = E.pairs(spark, sf_dir).groupBy(F.col("document_id").alias("id")).agg(F.to_json(F.array_sort(F.collect_list(F.struct("question", "answer")))).alias("a"))
     form = F.col("id") % 4
     reply = F.when(form == 0, F.col("a")).when(form == 1, F.concat(F.lit("```json\n"), "a", F.lit("\n```"))).when(form == 2, F.concat(F.lit('{"note": 1, "pairs": '), "a", F.lit("}"))).otherwise("no pairs here")
-    replies = pairs.select("id", reply.alias("reply"), F.when(F.col("id") % 8 == 7, "failed").otherwise("done").alias("status"))
-    return qa.reply_rows(replies)
+    return pairs.select("id", reply.alias("reply"), F.when(F.col("id") % 8 == 7, "failed").otherwise("done").alias("status"))
 
 
 # Writes
@@ -452,6 +456,83 @@ def size_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.agg(*over)
 
 
+# Payloads landed from the tables
+
+_CLEAN = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
+
+
+@query(f"""SELECT d.id::VARCHAR AS id, 'https://forum.example/r/' || source_name || '/' || d.id AS page_url, CASE WHEN d.id % 4 = 0 THEN '[deleted]' ELSE 'a' || d.id END AS author, DATE '2024-01-01' + to_days((d.id % 300)::INT) AS date_published,
+ coalesce(n, 0)::BIGINT AS comments_loaded, sha256({_CLEAN.format("CASE WHEN d.id % 5 = 0 THEN '' ELSE content_text END || coalesce(block, '')")}) AS content_hash
+FROM docs d LEFT JOIN (SELECT conv_id, count(*) AS n, string_agg(' [' || CASE WHEN turn % 3 = 0 THEN '[deleted]' ELSE 'u' || turn END || ' | score ' || turn || '] ' || coalesce(text, ''), '' ORDER BY turn) AS block FROM conversations WHERE role <> 'system' GROUP BY 1) c ON c.conv_id = d.id""", D)
+def forum_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings land as pages of a hundred posts, one a line, with a comments payload for each post."""
+    base = f"{storage.shared_folder(spark)}/forum-{uuid.uuid4().hex}"
+    docs = E.documents(spark, sf_dir)
+    post = F.struct(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("/r/"), "source_name", F.lit("/"), F.col("id").cast("string")).alias("permalink"), F.concat(F.lit("Post "), F.col("id").cast("string")).alias("title"),
+        F.when(F.col("id") % 5 != 0, F.col("content_text")).alias("selftext"), F.when(F.col("id") % 4 != 0, F.concat(F.lit("a"), F.col("id").cast("string"))).alias("author"),
+        (F.lit(1704067200) + F.col("id") % 300 * 86400).cast("double").alias("created_utc"),
+    )
+    listing = docs.groupBy("source_name", F.floor(F.col("id") / 100).alias("page")).agg(F.collect_list(F.struct(post.alias("data"))).alias("children"))
+    listing.select(F.to_json(F.struct(F.struct(F.lit(None).cast("string").alias("after"), "children").alias("data"))).alias("value")).write.text(base)
+    turns = E.read(spark, sf_dir, "conversations")
+    comment = F.struct(F.when(F.col("turn") % 3 != 0, F.concat(F.lit("u"), F.col("turn").cast("string"))).alias("author"), F.col("text").alias("body"), F.col("turn").alias("score"))
+    children = F.array_sort(F.collect_list(F.struct("turn", F.when(F.col("role") == "system", "more").otherwise("t1").alias("kind"), comment.alias("data"))))
+    two = F.array(F.struct(F.struct(F.array().cast(children_type := "array<struct<kind:string,data:struct<author:string,body:string,score:int>>>").alias("children")).alias("data")), F.struct(F.struct(F.transform("c", lambda x: F.struct(x["kind"], x["data"])).cast(children_type).alias("children")).alias("data")))
+    payloads = turns.groupBy(F.col("conv_id").cast("string").alias("id")).agg(children.alias("c")).select("id", F.to_json(two).alias("payload"))
+    posts = landing.forum_posts(spark, base, one_a_line=True).join(payloads, "id", "left").withColumn("comments", landing.comments(F.col("payload")))
+    out = landing.forum_documents(posts, "https://forum.example")
+    return out.select("id", "page_url", "author", F.col("date_published").cast("timestamp_ntz").alias("date_published"), F.col("comments_loaded").cast("long").alias("comments_loaded"), T.content_hash(F.col("content_text")).alias("content_hash"))
+
+
+@query("""SELECT conv_id AS thread_url, sha256(string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn)) AS content_hash, count(*) AS total_posts FROM conversations
+WHERE length(text) > 15 AND turn // 2 + 1 <= 15 GROUP BY 1 HAVING length(string_agg(text, '-------')) >= 50""")
+def forum_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as threads of two posts a page."""
+    posts = E.read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("thread_url"), (F.floor(F.col("turn") / 2) + 1).alias("page"), F.col("turn").alias("position"), "text")
+    return landing.threads(posts).select("thread_url", T.content_hash(F.col("content_text")).alias("content_hash"), F.col("total_posts").cast("long").alias("total_posts"))
+
+
+_RECORD = "CASE WHEN language = 'en' THEN 'Components: ' || source_name || ' Summary: ' || x WHEN language = 'de' THEN 'Campaign: ' || id || ' Summary: ' || x ELSE 'Action: ' || id || ' Component: ' || source_name END"
+
+
+@query(f"""SELECT make, model, kind, record_count, sha256({_CLEAN.format("array_to_string(l[1:200], ' ')")}) AS content_hash FROM (SELECT source_name AS make, 'm' || id // 1000 AS model, kind, count(*) AS record_count, list({_RECORD} ORDER BY id) AS l
+ FROM (SELECT *, {_CLEAN.format("substr(content_text, 1, 60)")} AS x, CASE language WHEN 'en' THEN 'complaints' WHEN 'de' THEN 'recalls' ELSE 'investigations' END AS kind FROM docs) GROUP BY 1, 2, 3)""", D)
+def vehicle_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources as makes, a thousand ids as a model, asked for the three kinds of records; documents
+    are the records."""
+    docs, text = E.documents(spark, sf_dir), F.trim(F.regexp_replace(F.substring("content_text", 1, 60), r"\s+", " "))
+    kind = F.when(F.col("language") == "en", "complaints").when(F.col("language") == "de", "recalls").otherwise("investigations")
+    pairs = (("components", F.when(kind == "complaints", F.col("source_name"))), ("summary", F.when(kind == "complaints", text)), ("NHTSACampaignNumber", F.when(kind == "recalls", F.col("id").cast("string"))), ("Summary", F.when(kind == "recalls", text)),
+             ("actionNumber", F.when(kind == "investigations", F.col("id").cast("string"))), ("component", F.when(kind == "investigations", F.col("source_name"))))
+    record = F.create_map(*(x for k, v in pairs for x in (F.lit(k), v)))
+    model = F.concat(F.lit("m"), F.floor(F.col("id") / 1000).cast("string")).alias("model")
+    records = docs.select(F.col("source_name").alias("make"), model, kind.alias("kind"), "id", record.alias("r"))
+    # Maps have no order, so the records are put in order by id alone.
+    records = records.groupBy("make", "model", "kind").agg(F.array_sort(F.collect_list(F.struct("id", F.map_entries("r").alias("e")))).alias("rs"))
+    records = records.select("make", "model", "kind", F.transform("rs", lambda x: F.map_from_entries(x["e"])).alias("records"))
+    asked = landing.vehicle_requests(docs.select(F.col("source_name").alias("make"), model, F.lit(2020).alias("year")).distinct())
+    out = landing.vehicle_documents(asked.join(records, ["make", "model", "kind"]))
+    return out.select("make", "model", "kind", F.col("record_count").cast("long").alias("record_count"), T.content_hash(F.col("content_text")).alias("content_hash"))
+
+
+@query("SELECT name, 'web' AS source_type, 'https://' || name || '.example' AS base_url, n % 3 <> 0 AS enabled, CASE WHEN n % 2 = 0 THEN n ELSE 5 END::INT AS priority, 24 AS scrape_interval_hours FROM num", R)
+def source_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources seen, written to a configuration file and read back with its defaults."""
+    names = sorted(r[0] for r in E.read(spark, sf_dir, "documents").select("source").distinct().collect())
+    path = f"{storage.shared_folder(spark)}/config-{uuid.uuid4().hex}.json"
+    entries = [{"name": n, "type": "web", "base_url": f"https://{n}.example", "enabled": int(n[3:]) % 3 != 0} | ({"priority": int(n[3:])} if int(n[3:]) % 2 == 0 else {}) for n in names]
+    storage.write_text(spark, path, json.dumps({"sources": entries}))
+    return landing.roster(spark, path)
+
+
+@query(f"""SELECT count(*) AS processed, sum(CASE WHEN id % 4 <> 3 AND n >= 2 THEN n ELSE 0 END)::BIGINT AS generated, count(*) FILTER (id % 8 = 7) AS failed, count(*) FILTER (id % 8 <> 7 AND (id % 4 = 3 OR n < 2)) AS skipped
+FROM (SELECT document_id AS id, count(*) FILTER ({_OK}) AS n FROM pairs GROUP BY 1)""", P)
+def batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a batch of replies, two fit pairs or more counting."""
+    return analytics.batch_totals(qa.results(_replies(spark, sf_dir), 2))
+
+
 # Five sources crawl the pages; a link leads to the page whose number its hash gives.
 _EDGES = """edges AS (SELECT p.page_id AS src, t.page_id AS dst, min(pos)::BIGINT AS pos FROM (SELECT page_id, l, pos FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS ls FROM pages), unnest(ls) WITH ORDINALITY u(l, pos)) p
   JOIN pages t ON t.page_id = ('0x' || substr(md5(l), 1, 8))::BIGINT % (SELECT count(*) FROM pages) WHERE t.page_id <> p.page_id GROUP BY 1, 2),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +12,15 @@ from ..functions import text as T
 from ..functions.python import clean_text, html_page
 from ..functions.selectors import by_field, extract, page_fields
 from ..schemas import COMMENTS, LISTING, SOURCES
+from ..storage import read_text
 
 MIN_ARTICLE, MIN_THREAD, MIN_POST, MAX_THREAD_PAGES, MAX_RECORDS = 100, 50, 15, 15, 200
 POST_SEPARATOR = "\n\n---\n\n"
 
 
 def roster(spark: SparkSession, path: str) -> DataFrame:
-    """The sources of a configuration file (JSON, or YAML where a parser is installed)."""
-    text = Path(path).read_text(encoding="utf-8")
+    """The sources of a configuration file (JSON, or YAML where a parser is installed) in any store."""
+    text = read_text(spark, path)
     try:
         config = json.loads(text)
     except ValueError:
@@ -85,9 +85,9 @@ def threads(posts: DataFrame) -> DataFrame:
     return out.select("thread_url", text.alias("content_text"), F.size("posts").alias("total_posts")).where(F.length("content_text") >= MIN_THREAD)
 
 
-def forum_posts(spark: SparkSession, path: str) -> DataFrame:
-    """The posts of landed listing payloads."""
-    listing = spark.read.schema(LISTING).json(path, multiLine=True)
+def forum_posts(spark: SparkSession, path: str, one_a_line: bool = False) -> DataFrame:
+    """The posts of landed listing payloads: one a file, or one a line."""
+    listing = spark.read.schema(LISTING).json(path, multiLine=not one_a_line)
     return listing.select(F.explode("data.children").alias("c")).select("c.data.*")
 
 
