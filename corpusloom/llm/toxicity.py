@@ -19,8 +19,9 @@ probability.
 Only rows with crc32(doc_id) mod 5 other than 0 are learned from; doc_id, lang, source and
 labels are never inputs of a score.
 
-Edge cases: null and empty texts score the model's base rate; with no usable labels every
-score is 0; several labels of a doc_id count as toxic if one is; repeated rows get equal
+Edge cases: null and empty texts score as any text without selected features does (the fit weighs
+both classes alike); where no feature is selected, all score the share of toxic labels; with no
+usable labels every score is 0; several labels of a doc_id count as toxic if one is; repeated rows get equal
 scores; very long texts are scored whole; other columns are ignored.
 """
 
@@ -298,7 +299,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     y = stored(y.withColumn("h", F.xxhash64("doc_id")), "labels")
     chosen_rows = None
     half = sample_rows // 2
-    for k, n in y.where("toxic in (0, 1)").groupBy("toxic").count().collect():
+    labelled = {k: n for k, n in y.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
+    for k, n in labelled.items():
         # The share that surely holds enough rows, so that few are sorted; then the first of them.
         share_of = min(1.0, 2.0 * half / n + 100.0 / n)
         part = y.where((F.col("toxic") == k) & (F.pmod("h", F.lit(1 << 20)) < int(share_of * (1 << 20)) + 1)).orderBy("h", "doc_id").limit(half)
@@ -336,6 +338,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     gain = F.abs(F.log(p / q)) * F.sqrt(F.greatest(p, q))
     enough = (F.col("feature") >= 0) & (F.col("toxic") + F.col("clean") >= 4) & (F.col("toxic") / n_toxic > 3 * F.col("clean") / n_clean)
     chosen = [r[0] for r in counts.where(enough).orderBy(gain.desc(), "feature").limit(SELECTED).select("feature").collect()]
+    if not chosen:
+        return Model(float(np.log(labelled[1] / labelled[0])), {}, channel)
     place = np.full(1 << FEATURE_BITS, -1, dtype=np.int64)
     place[chosen] = np.arange(len(chosen))
 

@@ -519,6 +519,19 @@ def test_toxicity(spark):
     assert toxicity.score(frame(spark, EMPTY), none).count() == 0
 
 
+def test_toxicity_with_few_labels(spark):
+    """Nothing is commoner in the toxic documents: every document scores their share."""
+    r = random.Random(12)
+    items = [(i, " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(12))) for i in range(100)] + [(None, "null id"), (200, None), (201, "")]
+    rows = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    for toxic in (rows[:4], rows[:1]):
+        marks = spark.createDataFrame([(i, 1, int(i in toxic)) for i in rows[: 20 * len(toxic)]], "doc_id long, quality int, toxic int")
+        got = toxicity.score(frame(spark, items), toxicity.train(frame(spark, items), marks)).collect()
+        assert len(got) == len(items) and {round(x.score, 9) for x in got} == {0.05}
+    three = spark.createDataFrame([(rows[0], 1, 1), (rows[1], 1, 0), (rows[2], 1, 0)], "doc_id long, quality int, toxic int")
+    assert {round(x.score, 6) for x in toxicity.score(frame(spark, items), toxicity.train(frame(spark, items), three)).collect()} == {0.333333}
+
+
 def test_registered_sql_is_text():
     from corpusloom.llm import registry
 
