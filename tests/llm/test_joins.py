@@ -283,3 +283,31 @@ def test_bounds_reject_no_link():
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 def test_ngram_join_sql(spark):
     against_sql(spark, ngram_join.op12_ngram_join, ngram_join.ORACLE_SQL)
+
+
+ODD = [(None, "mail a.b@c.de now", "en", "s"), (None, "mail a.b@c.de now", "en", "s"), (7, None, "en", None), (7, "", None, "s"), (7, "one", "de", "t"), (8, "one two three four five six seven eight nine ten eleven", "en", "s"), (8, "one two three four five six seven eight nine ten eleven", "en", "s"), (9, " \n ", "fr", "s")]
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """Documents with null and repeated ids and rows, and columns whose names clash."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    docs = spark.createDataFrame([(*x, len(x[1] or "")) for x in ODD], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.withColumns({c: F.lit(None).cast("string") for c in ("rep", "tree", "term", "h1", "score", "label", "block", "part")}).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, ODD[5][1]), (None, "null item words"), (3, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(8, 1, 0), (7, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("number", [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12])
+def test_null_and_repeated_ids(spark, odd_tables, number):
+    """A row for each row, equal ones for equal rows."""
+    from corpusloom.llm import registry
+
+    (name,) = (n for n in registry.queries() if n.startswith(f"op{number}_"))
+    out = registry.queries()[name](spark, odd_tables)
+    got = out.collect()
+    assert len(got) == len(ODD) and sorted((r.doc_id for r in got), key=repr) == sorted((x[0] for x in ODD), key=repr)
+    if number != 9:
+        alike = [tuple(r) for r in got if r.doc_id is None]
+        assert alike[0] == alike[1]
