@@ -78,18 +78,36 @@ class Corpus:
             now = self.table("documents")
             fresh = waiting.join(now.select(F.col("id").alias("document_id"), "content_hash"), "document_id").where("content_hash <=> then_hash").select("document_id")
             asked = pairs.join(fresh, "document_id")
-            answered = stored(asked.select("document_id").distinct(), "answered")
-            fit = qa.at_least(qa.acceptable(asked), self.min_pairs).withColumn("qa_hash", T.qa_hash(F.col("question"), F.col("answer")))
-            old = self.table("qa_pairs")
-            fit = upsert.insert_if_absent(fit.select(*old.columns), old, "qa_hash", ["document_id", "date_generated"])
-            fit = stored(fit, "pairs")
-            touched = now.join(answered.withColumnRenamed("document_id", "id"), "id", "left_semi")
-            bumped = upsert.bump_parents(touched, fit)
-            bumped = bumped.withColumn("pipeline_stage", F.when(F.col("qa_count") == 0, "qa_skipped").otherwise(F.col("pipeline_stage")))
-            return {"documents": Change(bumped.select(*now.columns), key=["id"]), "qa_pairs": Change(fit, key=["qa_hash"])}
+            return self._taken(asked.select("document_id").distinct(), asked)
 
         return self.snapshots.commit("pairs", batch_id, plan)
 
+    def _taken(self, asked: DataFrame, pairs: DataFrame) -> dict[str, Change]:
+        """The changes by which the documents ``asked`` (document_id) take in their pairs (PAIRS)."""
+        asked = stored(asked, "asked")
+        now, old = self.table("documents"), self.table("qa_pairs")
+        fit = qa.at_least(qa.acceptable(pairs), self.min_pairs).withColumn("qa_hash", T.qa_hash(F.col("question"), F.col("answer")))
+        fit = stored(upsert.insert_if_absent(fit.select(*old.columns), old, "qa_hash", ["document_id", "date_generated"]), "pairs")
+        bumped = upsert.bump_parents(now.join(asked.withColumnRenamed("document_id", "id"), "id", "left_semi"), fit)
+        bumped = bumped.withColumn("pipeline_stage", F.when(F.col("qa_count") == 0, "qa_skipped").otherwise(F.col("pipeline_stage")))
+        return {"documents": Change(bumped.select(*now.columns), key=["id"]), "qa_pairs": Change(fit, key=["qa_hash"])}
+
+    def answer(self, generator: Callable[[str], str], size: int, model: str = "", concurrency: int | None = None) -> int:
+        """One batch of the queue: the ``size`` best of the documents that wait are given to the
+        generator, and its replies' pairs are taken in; how many pairs that made. Documents whose
+        replies give too few are skipped from then on; those whose call failed wait on."""
+        quality = T.content_quality(F.col("content_text"), F.col("word_count"))
+        docs = gates.queue(self.table("documents").withColumn("quality_score", quality), size)
+        replies = stored(qa.generate(docs, generator, concurrency), "replies").where("status <> 'failed'")
+        made = qa.pairs_from_replies(replies).withColumns({"llm_model": F.lit(model), "date_generated": F.current_timestamp().cast("timestamp_ntz")})
+        before = self.table("qa_pairs").count()
+        self.snapshots.commit("answers", self.snapshots.manifest().applied.get("answers", -1) + 1, lambda: self._taken(replies.select(F.col("id").alias("document_id")), stored(made, "made")))
+        return self.table("qa_pairs").count() - before
+
+    def answer_all(self, generator: Callable[[str], str], size: int, model: str = "", concurrency: int | None = None) -> int:
+        """Batches of ``answer`` until no document waits or a batch makes no pair; pairs made."""
+        return until_settled(lambda: self.answer(generator, size, model, concurrency), self.pending)
+
     def run_round(self, number: int, items: str, pairs: str, files_per_trigger: int | None = None) -> str:
         """One round over what has landed in two folders of Parquet files since the last; its status.
 

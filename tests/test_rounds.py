@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,32 @@ def test_replay_after_a_crash(spark, tmp_path, monkeypatch):
     assert run("late", after_manifest) == wanted
 
 
+def test_answers_until_nothing_waits(spark, tmp_path):
+    """Batches of the queue: documents with pairs, with too few, and with failing calls."""
+    c = Corpus(spark, str(tmp_path / "c"), min_pairs=2)
+    items = str(tmp_path / "items")
+    land(spark, items, [(u, f"mark{u} {prose(u + 1)}") for u in range(6)] + [(9, "short")])
+    c.ingest(spark.read.schema(ITEMS).parquet(items), 0, 1)
+    waiting = c.pending()
+    assert waiting == c.table("documents").where("not is_duplicate").count() >= 5
+    good = "What should be done when the engine of this car makes a knocking noise at idle, case {} of {}?"
+
+    def generator(prompt):
+        mark = prompt.split()[0]
+        if mark == "mark1" and fails:
+            raise RuntimeError("no model")
+        return json.dumps([{"question": good.format(i, mark), "answer": "Check the oil level and then the bearings."} for i in range(1 if mark == "mark2" else 3)])
+
+    fails = True
+    made = c.answer_all(generator, 2)
+    stages = {r.content_text.split()[0]: (r.pipeline_stage, r.qa_count) for r in c.table("documents").where("not is_duplicate").collect()}
+    assert stages["mark2"] == ("qa_skipped", 0) and stages["mark1"] == ("deduplicated", 0) and c.pending() == 1
+    assert made == c.table("qa_pairs").count() == 3 * (waiting - 2) == sum(n for _, n in stages.values())
+    assert c.answer_all(generator, 5) == 0 and c.pending() == 1  # a batch without pairs ends it
+    fails = False
+    assert c.answer_all(generator, 5) == 3 and c.pending() == 0 and c.answer_all(generator, 5) == 0
+
+
 def test_until_settled():
     left = [5]
 
