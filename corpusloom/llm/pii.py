@@ -5,20 +5,25 @@ matches that fail a check are dropped. Positions come from the lengths of matche
 pieces between them, so they are code points and need no Python.
 
 Each distinct value found is a protected entity e. A term t near it (within CONTEXT
-characters) reveals it as far as t's co-occurrence explains it: with counts over all
-documents,
+characters) reveals it as far as t leaves little to learn about e: with counts over all
+documents, -log2 P(e|t) bits are left, where
 
-    disclosure(t, e) = log(n(t,e) * N / (n(t) * n(e))) / log(N / n(e)),
+    disclosure(t, e) = P(e|t) = n(t,e) / n(t),
 
-which is 1 when t occurs with e alone and 0 when both are independent. Every term that stands
-near e is rated, in however few texts e stands. Terms with a disclosure of THRESHOLD or more
-are generalised: all their occurrences, in whatever text and however far from e, become
-spans of kind ``term``. ``sanitise`` replaces
-base spans by their kind and these terms by a placeholder.
+which is 1 when t occurs beside e alone. Every term that stands near e and informs about it,
+P(e|t) > P(e) = n(e) / N, is rated, in however few texts e stands. Terms with a disclosure of
+THRESHOLD or more are generalised: all their occurrences, in whatever text and however far
+from e, become spans of kind ``term``. The rule is a ratio of counts, so it is as strict in a
+large table as in a small one: a term of one text beside e and of one without is never marked.
+``sanitise`` replaces base spans by their kind and these terms by a placeholder.
 
 Only DataFrame functions are used. Counting is by partial aggregation; contexts are rows, so
 an entity in a third of all documents is never gathered in one task. Pairs meet the counts of
 their terms and entities in joins that broadcast the few keys with a large share of the pairs.
+Texts don't move: a Bloom filter of the disclosing terms, of a fixed size, says in the scan
+which texts may hold one, and only the words that pass it are joined with the terms. Where
+the terms are too many to broadcast, words of many texts are told apart by a list of their own
+first, so that none of them is a key of the shuffled join.
 
 Edge cases: null and empty texts have no spans; copies with other ids count as documents;
 repeated rows (one id, one text) count once near an entity and each time elsewhere, so they
@@ -33,13 +38,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .native import bounded
+from . import native
 from .textkit import stored, table
 
 CONTEXT = 80
-THRESHOLD = 0.9
+THRESHOLD = 0.6
 #: Keys with more than one in so many rows are broadcast; there are fewer of them than that.
 SHARE = 1000
+#: The filter has two to this many bits, whatever the number of terms (512 kB).
+FILTER_BITS = 22
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -190,48 +197,88 @@ def _with_counts(pairs: DataFrame, n_pairs: int, counts: DataFrame, key: str) ->
     return few.unionByName(many)
 
 
-def disclosing_terms(docs: DataFrame, nearby: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def _word_bits(term: Column) -> list[tuple[Column, Column]]:
+    """The two (word, bit) places of a term in the filter."""
+    h = F.xxhash64(term)
+    places = [h.bitwiseAND(2**FILTER_BITS - 1), F.shiftrightunsigned(h, FILTER_BITS).bitwiseAND(2**FILTER_BITS - 1)]
+    return [(F.shiftright(p, 6).cast("int"), p.bitwiseAND(63).cast("int")) for p in places]
+
+
+def _may_be(terms: DataFrame) -> Callable[[Column], Column]:
+    """Whether a word may be one of ``terms``: a Bloom filter, summed up by Spark to at most
+    2 ** FILTER_BITS / 64 rows, as a constant of the plan."""
+    places = F.array(*(F.struct(word.alias("word"), bit.alias("bit")) for word, bit in _word_bits(F.col("term"))))
+    rows = terms.select(F.explode(places).alias("p")).select("p.word", F.expr("shiftleft(1L, p.bit)").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    values = dict(map(tuple, rows.collect()))
+    constant = F.split(F.lit(",".join(str(values.get(i, 0)) for i in range(2**FILTER_BITS // 64))), ",").cast("array<bigint>")
+
+    def test(word: Column) -> Column:
+        (w0, b0), (w1, b1) = _word_bits(word)
+        return (F.getbit(F.get(constant, w0), b0) == 1) & (F.getbit(F.get(constant, w1), b1) == 1)
+
+    return test
+
+
+def term_counts(docs: DataFrame, nearby: DataFrame, total: int) -> DataFrame:
+    """(term, n_t, near, frequent) of the words near entities, and of those in more than one of
+    SHARE of the ``total`` texts: at most SHARE times as many as a text has on average."""
+    wanted = stored(nearby.where("term is not null").select("term").distinct(), "terms").withColumn("near", F.lit(True))
+    # Lower-cased one by one, as the terms near an entity are: a letter may become two.
+    seen = docs.select(F.explode(_vocabulary(F.col("text"))).alias("term"))
+    # Summed before the join: each task sends a term once, and the join's size is the vocabulary's.
+    counts = seen.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left")
+    frequent = F.col("n_t") * SHARE > total
+    return stored(counts.select("term", "n_t", F.coalesce("near", F.lit(False)).alias("near"), frequent.alias("frequent")).where("near or frequent"), "frequencies")
+
+
+def disclosing_terms(nearby: DataFrame, counts: DataFrame, total: int, threshold: float = THRESHOLD) -> DataFrame:
     """(entity, term, disclosure) of the terms that reveal an entity.
 
-    ``docs``: the texts of all documents; ``nearby``: entity, term (null
-    where none stands near), doc_id, text_hash.
+    ``nearby``: entity, term (null where none stands near), doc_id, text_hash; ``counts``: of
+    ``term_counts``; ``total``: the number of documents.
     """
     n_te = stored(nearby.where("term is not null").select("entity", "term", "doc_id", "text_hash").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")), "pairs")
     n_e = nearby.select("entity", "text_hash", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    wanted = stored(n_te.select("term").distinct(), "terms")
-    # Lower-cased one by one, as the terms near an entity are: a letter may become two.
-    seen = docs.select(F.explode(_vocabulary(F.col("text"))).alias("term"))
-    # Summed before the join: each task sends a term once, and the join's size is the vocabulary's.
-    n_t = stored(seen.groupBy("term").agg(F.count("*").alias("n_t")).join(wanted, "term", "left_semi"), "frequencies")
-    total, n_pairs = docs.count(), n_te.count()
-    rated = _with_counts(_with_counts(n_te, n_pairs, stored(n_e, "entities"), "entity"), n_pairs, n_t, "term")
-    value = F.log(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(total)) / F.col("n_e"))
-    rated = rated.where(F.col("n_e") < total).withColumn("disclosure", value)
+    n_pairs = n_te.count()
+    rated = _with_counts(_with_counts(n_te, n_pairs, stored(n_e, "entities"), "entity"), n_pairs, counts.where("near").select("term", "n_t"), "term")
+    informs = F.col("n_te") * F.lit(total) > F.col("n_t") * F.col("n_e")
+    rated = rated.where(informs).withColumn("disclosure", F.col("n_te") / F.col("n_t"))
     return rated.where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
+def _only(words: DataFrame, terms: DataFrame, n_terms: int, counts: DataFrame) -> DataFrame:
+    """The rows of ``words`` whose term is one of ``terms``, which ``counts`` has."""
+    if n_terms <= native.BROADCAST_ROWS:
+        return words.join(F.broadcast(terms), "term", "left_semi")
+    frequent = counts.where("frequent").select("term")
+    rare = words.join(F.broadcast(frequent), "term", "left_anti").join(terms, "term", "left_semi")
+    often = stored(frequent.join(terms, "term", "left_semi"), "often")
+    return rare.unionByName(words.join(F.broadcast(often), "term", "left_semi")) if often.count() else rare
+
+
 def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_hash, base and terms (arrays of spans) of every document."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     found = texts.withColumn("base", base_spans(F.col("text")))
     contexts = F.when(F.size("base") > 0, _contexts(masked(F.col("text")), F.col("base")))
     found = stored(found.select("doc_id", "text_hash", "base", contexts.alias("near")), "spans")
+    total = found.count()
 
     sides = found.where(F.size("base") > 0).select("doc_id", "text_hash", F.explode("near").alias("n"))
     words = sides.select("doc_id", "text_hash", "n.entity", F.explode_outer("n.terms").alias("term"))
     words = stored(words, "nearby")
 
-    revealing = stored(disclosing_terms(texts, words, threshold).select("term").distinct(), "revealing")
-    n_revealing = revealing.count()
+    counts = term_counts(texts, words, total)
+    revealing = stored(disclosing_terms(words, counts, total, threshold).select("term").distinct(), "revealing")
+    may_be = _may_be(revealing)
     # Positions cost far more than presence, and few texts hold any of these terms.
-    holders = texts.select("doc_id", "text_hash", F.explode(_vocabulary(F.col("text"))).alias("term")).join(bounded(revealing, n_revealing), "term")
-    holders = stored(holders.select("doc_id", "text_hash").distinct(), "holders")
-    held = texts.alias("d").join(bounded(holders, holders.count()).alias("h"), _same("d", "h"), "left_semi")
+    held = texts.where(F.exists(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), 0)), lambda w: may_be(F.lower(w))))
     pieces = held.select("doc_id", "text_hash", F.explode(matches(masked(F.col("text")), "piece", PIECE)).alias("p"))
-    tokens = pieces.select("doc_id", "text_hash", F.col("p.start").alias("at"), F.explode(matches(F.col("p.value"), "term", TERM)).alias("m"))
+    possible = F.filter(matches(F.col("p.value"), "term", TERM), lambda m: may_be(F.lower(m["value"])) & ~F.contains(m["value"], F.lit(MASK)))
+    tokens = pieces.select("doc_id", "text_hash", F.col("p.start").alias("at"), F.explode(possible).alias("m"))
     start, end = F.col("at") + F.col("m.start"), F.col("at") + F.col("m.end")
-    tokens = tokens.where(~F.contains("m.value", F.lit(MASK))).select("doc_id", "text_hash", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"))
-    spans = tokens.join(bounded(revealing, n_revealing), "term")
+    tokens = tokens.select("doc_id", "text_hash", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"))
+    spans = _only(tokens, revealing, revealing.count(), counts)
     listed = spans.groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_set(F.struct("start", "end", "term"))).alias("terms")
     )  # bounded by the text: one entry for each of its words

@@ -556,8 +556,6 @@ def test_windows_are_bounded(spark, monkeypatch):
 
 def brute_terms(items):
     """Disclosing terms by their definition, over whole texts."""
-    import math
-
     rows, seen = [], set()
     for i, t in items:
         t = t or ""
@@ -582,7 +580,7 @@ def brute_terms(items):
     out = set()
     for entity, w in set().union(*(r[0] for r in rows)):
         n_e = n_p((entity, None))
-        if w is not None and n_e < total and math.log(n_p((entity, w)) * total / (n_t(w) * n_e)) / math.log(total / n_e) >= 0.9:
+        if w is not None and n_p((entity, w)) * total > n_t(w) * n_e and n_p((entity, w)) / n_t(w) >= 0.6:
             out.add(w)
     return [sorted((s, e, w) for w, s, e in r[2] if w in out) for r in rows]
 
@@ -607,6 +605,42 @@ def test_terms_by_brute_force(spark):
     assert all(got[i, h] == want for (i, _), h, want in zip(items, ids, wanted, strict=True))
 
 
+def test_terms_do_not_depend_on_the_size_of_the_table(spark):
+    """What is marked in a text stays when texts without any of its words are added."""
+    items = [(i, f"Quorvath{chr(97 + i)} u{i}@x.yz shared{chr(97 + i // 3)} words") for i in range(9)] + [(20, "sharedb of nobody"), (21, "quorvatha quorvathb here")]
+    more = [(i, "nothing of that kind stands in these") for i in range(100, 3100)]
+    marked = []
+    for rows in (items, items + more):
+        got = pii.find_personal_data(frame(spark, rows)).where("size(terms) > 0").collect()
+        marked.append(sorted((x.doc_id, [s.value for s in x.terms]) for x in got))
+    assert marked[0] == marked[1]
+    # One text beside the address and one without is no disclosure: a and b stay.
+    assert marked[0] == [(i, [f"quorvath{chr(97 + i)}"]) for i in range(2, 9)]
+
+
+def test_terms_too_many_to_broadcast(spark, monkeypatch):
+    """Shuffled, with a word in every text and a disclosing word in a third of all, the same."""
+    hot = [(i, f"the owner Zanzibarian who@x.yz and the rest number{i}") for i in range(0, 300, 3)]
+    items = hot + [(i, f"the owner of the rest number{i}") for i in range(300) if i % 3] + [(400 + i, f"the Ann{chr(97 + i)} u{i}@x.yz") for i in range(5)]
+    results = []
+    for rows in (pii.native.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(pii.native, "BROADCAST_ROWS", rows)
+        found = pii.find_personal_data(frame(spark, items)).collect()
+        results.append(sorted((x.doc_id, [(s.start, s.end, s.value) for s in x.terms]) for x in found))
+    assert results[0] == results[1]
+    marked = {i: [v for _, _, v in t] for i, t in results[0]}
+    assert all("zanzibarian" in marked[i] for i, _ in hot) and marked[400] == ["anna"]
+    assert not any({"the", "owner", "rest"} & set(t) for t in marked.values())
+
+
+def test_filter_has_every_term(spark):
+    words = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("term"))
+    may_be = pii._may_be(words.where("term < 'w2'"))
+    got = words.withColumn("passes", F.exists(F.array("term"), may_be)).collect()
+    assert all(x.passes for x in got if x.term < "w2") and sum(x.passes for x in got if x.term >= "w2") < 20
+    assert not words.where(pii._may_be(words.limit(0))(F.col("term"))).count()
+
+
 def test_many_entities_in_one_text(spark):
     """Work grows with the text, not with the square of what is found in it."""
     n = 20000
