@@ -90,3 +90,19 @@ def test_crawl(spark, tmp_path):
     assert {(r.source, r.url, r.depth, r.found, r.taken) for r in crawl.frontier().where("url in ('f', 'gone')").collect()} == {("s", "f", 3, 4, 5), ("s", "gone", 3, 4, 5), ("t", "gone", 1, 1, 2)}
     crawl.start(spark.createDataFrame([("s", "a", 0), ("s", "new", 0)], "source string, url string, position int"))
     assert [(r.source, r.url) for r in crawl.waiting().collect()] == [("s", "new")]
+
+
+def test_source_of_an_element():
+    html = "<p>a &amp;&amp\n<b>x &quot;y</b>\n</p><ul><li>one<li>two &lt</ul><h1>H &amp"
+    got = {s: S.fields(html, None, [("x", "source", s, None)])[0][1] for s in ("p", "b", "li", "ul", "h1", "h2")}
+    assert got == {"p": "a &amp;&amp\n<b>x &quot;y</b>\n", "b": "x &quot;y", "li": "one", "ul": "<li>one<li>two &lt", "h1": "H &amp", "h2": ""}
+
+
+def test_selector_fields_keeps_references_as_its_sql_does(spark, tmp_path):
+    from corpusloom.plans import catalog
+
+    pages = [(3, "https://a.example/3", "<html><body><nav><ul><li><a href=\"/x\">x</a></ul></nav><article><h1>A &amp;&amp; B&amp</h1></article></body></html>"),
+             (4, "https://a.example/4", "<html><head><title>t = &quot;0c &lt;b&gt;</title></head><body><div class=\"ad\">B&uuml;\n <i>y</i></div></body></html>")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.title, r.advert, r.links) for r in catalog.QUERIES["selector_fields"](spark, str(tmp_path)).collect()}
+    assert got == {3: ("A && B&amp", None, "https://a.example/x"), 4: ('t = &quot;0c <b>', "B&uuml; y", None)}
