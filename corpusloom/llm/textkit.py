@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.python import small_batches  # noqa: F401  (shared by the operators)
 from ..storage import discard, stored  # noqa: F401  (shared by the operators)
 
 MASK64 = (1 << 64) - 1
@@ -106,10 +107,5 @@ def utf8_list(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch can hold, so that a run of long texts fits a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
