@@ -198,3 +198,23 @@ def test_wrapped_page_is_escaped(spark):
     text = F.lit('a < b & "c"')
     page = spark.range(1).select(sinks.wrapped_html(text, text, text, text, text, F.lit(datetime.datetime(2024, 1, 1)), F.lit(None).cast("timestamp"), F.lit("<b>kept</b>"), text)).first()[0]
     assert "<b>kept</b>" in page and "<h1>a &lt; b &amp; &quot;c&quot;</h1>" in page and 'a < b' not in page
+
+
+def test_fingerprints_are_computed_once(spark):
+    """They are stored before the bands are met: no plan that meets them computes them again."""
+    rows = [(i, f"{'words of a text that two rows share ' * 3}{i // 2} and so on") for i in range(8)]
+    docs = spark.createDataFrame(rows, "id long, content_text string").withColumns({"content_hash": F.sha2("content_text", 256), "url_hash": F.sha2(F.col("id").cast("string"), 256), "is_duplicate": F.lit(False)})
+    even, odd = docs.where("id % 2 = 0"), docs.where("id % 2 = 1")
+    found = dedup.classify(odd.drop("is_duplicate"), even.join(dedup.fingerprints(even), "id", "left"))
+    assert {(r.id, r.method, r.duplicate_of) for r in found.collect()} == {(i, "exact_hash", i - 1) for i in (1, 3, 5, 7)}
+    for out in (found, dedup.near_pairs(dedup.fingerprints(docs))):
+        assert "EvalPython" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("build", ["html_extract", "forum_documents", "near_dup_pairs", "selector_fields", "vehicle_records"])
+def test_batches_of_texts_are_bounded(spark, build):
+    from corpusloom.plans import catalog
+
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    catalog.QUERIES[build](spark, "/root/testdata/sf0.001")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 256
