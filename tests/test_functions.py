@@ -144,3 +144,21 @@ def test_file_name(spark):
 
     df = spark.createDataFrame([(datetime.datetime(2024, 1, 2, 3, 4, 5), "f" * 64, "a/b")], "d timestamp, h string, t string")
     assert df.select(sinks.file_name(F.col("d"), F.col("h"), F.col("t"))).first()[0] == "20240102_030405_ffffffffffff_a_b"
+
+
+def test_grams_of_many_texts_at_once():
+    from collections import Counter
+
+    from corpusloom.functions import language
+
+    texts = ["Ein Übermaß, ein  Maß!", None, "", "12 ... 34", "İstanbul ΟΔΟΣ x²y ½", "\ud800a\x00b 中文字", "a", " b ", "word " * 900]
+    assert language.counted_grams(texts) == sum(map(language.grams, texts), Counter())
+    assert language.counted_grams([]) == {} and language.counted_grams([None, "1"]) == {}
+    many = "".join(chr(c) for c in range(0x3400, 0x1F000) if chr(c).isalpha())
+    many = [many[i : i + 2000] for i in range(0, len(many), 2000)]
+    assert language.counted_grams(many) == sum(map(language.grams, many), Counter())
+    detector = object.__new__(language.Detector)
+    detector.languages = ["en", "de", "fr"]
+    detector.weights = {g: [-(i * 37 % 900), -(i * 53 % 900), -(i * 71 % 900)] for i, g in enumerate(sorted(language.counted_grams(texts))[::3])}
+    asked = [*texts, *(f"{t} " * 40 for t in texts if t), "zzzz" * 30, "Ein Übermaß " * 9]
+    assert detector.of_all(asked) == [detector.of(t) for t in asked]
