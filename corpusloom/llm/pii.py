@@ -34,6 +34,7 @@ columns are ignored by ``find_personal_data`` and kept by ``sanitise``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -204,19 +205,25 @@ def _word_bits(term: Column) -> list[tuple[Column, Column]]:
     return [(F.shiftright(p, 6).cast("int"), p.bitwiseAND(63).cast("int")) for p in places]
 
 
-def _may_be(terms: DataFrame) -> Callable[[Column], Column]:
-    """Whether a word may be one of ``terms``: a Bloom filter, summed up by Spark to at most
-    2 ** FILTER_BITS / 64 rows, as a constant of the plan."""
+def _filter(terms: DataFrame) -> DataFrame:
+    """A Bloom filter of ``terms``: one row with ``bits``, an array of 2 ** FILTER_BITS / 64 longs."""
     places = F.array(*(F.struct(word.alias("word"), bit.alias("bit")) for word, bit in _word_bits(F.col("term"))))
-    rows = terms.select(F.explode(places).alias("p")).select("p.word", F.expr("shiftleft(1L, p.bit)").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    values = dict(map(tuple, rows.collect()))
-    constant = F.split(F.lit(",".join(str(values.get(i, 0)) for i in range(2**FILTER_BITS // 64))), ",").cast("array<bigint>")
+    rows = terms.select(F.explode(places).alias("p")).select("p.word", F.expr("shiftleft(1L, p.bit)").alias("bits"))
+    none = terms.sparkSession.range(2**FILTER_BITS // 64).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = rows.unionByName(none).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    return stored(words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("bits")), "filter")
+
 
-    def test(word: Column) -> Column:
-        (w0, b0), (w1, b1) = _word_bits(word)
-        return (F.getbit(F.get(constant, w0), b0) == 1) & (F.getbit(F.get(constant, w1), b1) == 1)
+def _passes(bits: Column, word: Column) -> Column:
+    (w0, b0), (w1, b1) = _word_bits(word)
+    return (F.getbit(F.get(bits, w0), b0) == 1) & (F.getbit(F.get(bits, w1), b1) == 1)
 
-    return test
+
+def _may_be(terms: DataFrame) -> Callable[[Column], Column]:
+    """Whether a word may be one of ``terms``, with the filter as a constant: for plans that hold it
+    once or twice, as each mention of it is printed with the plan."""
+    (bits,) = _filter(terms).first()
+    return partial(_passes, F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>"))
 
 
 def term_counts(docs: DataFrame, nearby: DataFrame, total: int) -> DataFrame:
@@ -270,12 +277,15 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
     counts = term_counts(texts, words, total)
     revealing = stored(disclosing_terms(words, counts, total, threshold).select("term").distinct(), "revealing")
-    may_be = _may_be(revealing)
+    # A subquery's value: the plan, which Spark prints and sends many times, holds its name only.
+    bits, filtered = F.col("bits"), _filter(revealing).scalar()
     # Positions cost far more than presence, and few texts hold any of these terms.
-    held = texts.where(F.exists(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), 0)), lambda w: may_be(F.lower(w))))
+    vocabulary = F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), 0))
+    held = texts.withColumn("bits", filtered).where(F.exists(vocabulary, lambda w: _passes(bits, F.lower(w)))).drop("bits")
     pieces = held.select("doc_id", "text_hash", F.explode(matches(masked(F.col("text")), "piece", PIECE)).alias("p"))
-    possible = F.filter(matches(F.col("p.value"), "term", TERM), lambda m: may_be(F.lower(m["value"])) & ~F.contains(m["value"], F.lit(MASK)))
-    tokens = pieces.select("doc_id", "text_hash", F.col("p.start").alias("at"), F.explode(possible).alias("m"))
+    possible = F.filter(matches(F.col("p.value"), "term", TERM), lambda m: _passes(bits, F.lower(m["value"])) & ~F.contains(m["value"], F.lit(MASK)))
+    tokens = pieces.withColumn("bits", filtered).select("doc_id", "text_hash", F.col("p.start").alias("at"), possible.alias("m"))
+    tokens = tokens.select("doc_id", "text_hash", "at", F.explode("m").alias("m"))
     start, end = F.col("at") + F.col("m.start"), F.col("at") + F.col("m.end")
     tokens = tokens.select("doc_id", "text_hash", F.lower("m.value").alias("term"), start.alias("start"), end.alias("end"))
     spans = _only(tokens, revealing, revealing.count(), counts)

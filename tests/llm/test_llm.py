@@ -641,6 +641,13 @@ def test_filter_has_every_term(spark):
     assert not words.where(pii._may_be(words.limit(0))(F.col("term"))).count()
 
 
+def test_the_filter_is_no_part_of_the_plan(spark):
+    """It has 65,536 words, and the driver prints each plan again and again."""
+    items = [(i, f"kestrel wrote to a{i % 3}@example.org today") for i in range(30)]
+    found = pii.find_personal_data(frame(spark, items))
+    assert len(found._jdf.queryExecution().toString()) < 500_000
+
+
 def test_many_entities_in_one_text(spark):
     """Work grows with the text, not with the square of what is found in it."""
     n = 20000
