@@ -13,10 +13,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Seconds for which addresses and contents are remembered.
 TIERS = {"url": 3600, "content": 86400}
+#: Groups of remembered keys in each tier.
+BUCKETS = 4096
 
 
 @contextmanager
@@ -70,39 +73,65 @@ def visits(stream: DataFrame) -> DataFrame:
 
 
 class _Remembered(StatefulProcessor):
-    """Admits a key's row if the key isn't remembered, and then remembers it for its time."""
+    """Admits a key's row if the key isn't remembered, and then remembers it for its time.
+
+    The keys of one bucket are read, written and timed together, as each call to the state store
+    costs far more than a key: the bucket's timer is that of the key to be forgotten first.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._until = handle.getValueState("until", "us long, times long")
+        self._until = handle.getListState("until", "key string, us long, times long")
 
     def handleInputRows(self, key: tuple, rows: Iterable[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
-        until, times = self._until.get() if self._until.exists() else (None, 0)
-        old = until
-        for ts, event_id, ttl in sorted((r.us, r.event_id, r.ttl) for r in rows):
-            if until is None or ts >= until:
-                until, times = ts + 1_000_000 * ttl, times + 1
-                yield Row(tier=key[0], key=key[1], event_id=event_id, us=ts, times=times)
-        if until != old:
-            if old is not None:
-                self._handle.deleteTimer(_timer(old))
-            self._until.update((until, times))
-            self._handle.registerTimer(_timer(until))
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:  # noqa: N802, N803
-        self._until.clear()
+        held = {k: (until, times) for k, until, times in self._until.get()}
+        old, changed = held.copy(), False
+        arrived: dict[str, list[tuple]] = {}
+        for r in rows:
+            arrived.setdefault(r.key, []).append((r.us, r.event_id, r.ttl))
+        for k, mine in arrived.items():
+            until, times = held.get(k, (None, 0))
+            for ts, event_id, ttl in sorted(mine):
+                if until is None or ts >= until:
+                    until, times, changed = ts + 1_000_000 * ttl, times + 1, True
+                    yield Row(tier=key[0], key=k, event_id=event_id, us=ts, times=times)
+            held[k] = (until, times)
+        if changed:
+            self._keep(held)
+            before, first = _first_timer(old), _first_timer(held)
+            if before != first:
+                if before is not None:
+                    self._handle.deleteTimer(before)
+                self._handle.registerTimer(first)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        passed = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        held = {k: (until, times) for k, until, times in self._until.get() if _timer(until) > passed}
+        self._keep(held)
+        if held:
+            self._handle.registerTimer(_first_timer(held))
         return iter(())
 
+    def _keep(self, held: dict[str, tuple[int, int]]) -> None:
+        if held:
+            self._until.put([(k, until, times) for k, (until, times) in held.items()])
+        else:
+            self._until.clear()
+
     def close(self) -> None:
         pass
 
 
+def _first_timer(held: dict[str, tuple[int, int]]) -> int | None:
+    return min((_timer(until) for until, _ in held.values()), default=None)
+
+
 def _timer(us: int) -> int:
     """The millisecond after which a key is surely forgotten."""
     return us // 1000 + 1
 
 
-def admitted(stream: DataFrame, tiers: dict[str, int] | None = None, late: str = "10 minutes") -> DataFrame:
+def admitted(stream: DataFrame, tiers: dict[str, int] | None = None, late: str = "10 minutes", buckets: int = BUCKETS) -> DataFrame:
     """tier, key, event_id, ts and ``times`` of each row that is let through: the first of its key,
     and later ones that come when the key has been forgotten, ``ttl`` after it was last let through.
     ``times`` counts within the state's life; a key whose time is up when the watermark passes it
@@ -110,12 +139,14 @@ def admitted(stream: DataFrame, tiers: dict[str, int] | None = None, late: str =
 
     ``stream`` has event_id, ts (timestamp), and a column for each tier with the tier's key; rows
     with a null key don't take part in that tier. Rows more than ``late`` behind the newest row of
-    the batches before are dropped. The rows of one key in one batch are put in order in memory,
-    so a batch (``files_per_trigger``) bounds them.
+    the batches before are dropped. The rows of one bucket of keys in one batch are put in order in
+    memory, so a batch (``files_per_trigger``) bounds them. A batch writes the buckets that it
+    touches; how many there are of each tier, ``buckets``, must stay the same for a checkpoint.
     """
     tiers = TIERS if tiers is None else tiers
     each = F.explode(F.array(*(F.struct(F.lit(t).alias("tier"), F.col(t).cast("string").alias("key"), F.lit(s).cast("long").alias("ttl")) for t, s in tiers.items())))
     rows = stream.withWatermark("ts", late).select("ts", F.col("event_id").cast("long").alias("event_id"), each.alias("t"))
     rows = rows.select("ts", F.unix_micros("ts").alias("us"), "event_id", "t.*").where("key is not null")
-    out = rows.groupBy("tier", "key").transformWithState(_Remembered(), "tier string, key string, event_id long, us long, times long", "Append", "EventTime")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    out = rows.groupBy("tier", "bucket").transformWithState(_Remembered(), "tier string, key string, event_id long, us long, times long", "Append", "EventTime")
     return out.select("tier", "key", "event_id", F.timestamp_micros("us").alias("ts"), "times")

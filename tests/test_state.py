@@ -66,6 +66,32 @@ def test_ttl_forgets(spark, tmp_path):
     assert counts[0] == 3 and counts[-1] == 2
 
 
+def test_keys_of_a_bucket_are_held_together(spark, tmp_path):
+    """Many keys make few calls to the state store, and each is still forgotten in its own time."""
+    r = random.Random(3)
+    events = sorted((r.randrange(20000), r.choice("abcdefgh"), None if r.random() < 0.1 else r.choice("xyz")) for _ in range(400))
+    events = [(n, at(s), u, c) for n, (s, u, c) in enumerate(events)]
+    tiers, wanted = {"url": 300, "content": 1500}, []
+    for column, tier in ((2, "url"), (3, "content")):
+        until = {}
+        for e in events:
+            if e[column] is not None and e[1] >= until.get(e[column], T0):
+                until[e[column]] = e[1] + datetime.timedelta(seconds=tiers[tier])
+                wanted.append((tier, e[column], e[0]))
+    for lot in range(4):
+        land(spark, str(tmp_path / "in"), events[100 * lot : 100 * lot + 100], BEATS)
+        with state.rocksdb(spark):
+            stream = state.admitted(rounds.events(spark, str(tmp_path / "in"), BEATS), tiers, buckets=2)
+            rounds.to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("tier", "key", "event_id")) == sorted(wanted, key=repr)
+    held = spark.read.format("statestore").option("stateVarName", "until").load(str(tmp_path / "cp"))
+    # A key stays while the watermark, 10 minutes behind the batches before, hasn't passed its time.
+    newest = {(t, k): e for t, k, e in sorted(wanted, key=lambda w: w[2])}
+    live = {k for k, e in newest.items() if events[e][1] + datetime.timedelta(seconds=tiers[k[0]] + 600) > events[-1][1]}
+    assert held.count() == len(live) < len(newest)
+    assert held.select("key").distinct().count() <= 4
+
+
 def test_sessions_close_and_drop_late_beats(spark, tmp_path):
     lots = [[(1, at(0), "m", ""), (2, at(100), "m", ""), (3, at(280), "m", ""), (4, at(461), "m", "")], [(5, at(5000), "n", "")], [(6, at(200), "m", ""), (7, at(5100), "n", ""), (8, at(9000), "m", "")]]
     seen = []
