@@ -32,6 +32,11 @@ class Plan:
     outcomes: DataFrame
 
 
+def numbered(items: DataFrame) -> DataFrame:
+    """The items as a stored table in which each has a number of its own, ``item``."""
+    return stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
+
+
 def latest_items(items: DataFrame) -> DataFrame:
     """One item for each address: the last scraped (of several at one time the largest hash)."""
     last = F.max_by(F.struct(*(c for c in items.columns if c != "url_hash")), F.struct("date_scraped", "content_hash"))
@@ -49,34 +54,39 @@ def plan_batch(items: DataFrame, documents: DataFrame, round_number: int, max_ha
       oldest similar original, else the first similar new item before it (``simhash``); else
       ``unique``. Duplicates are recorded without their text.
 
-    Items with a null address are left out.
+    Items with a null address are left out. Texts stay in the table of items (``numbered``, which
+    is done here unless it was before) until the documents to put are written.
     """
-    one = latest_items(items.select(*ITEM).where("url_hash is not null"))
+    items = items if "item" in items.columns else numbered(items)
+    one = latest_items(items.where("url_hash is not null").select(*(c for c in ITEM if c != "content_text"), "item"))
     old = documents.select(F.col("id").alias("url_hash"), F.col("content_hash").alias("old_hash"), F.col("is_duplicate").alias("old_duplicate"), F.col("created_at").alias("old_created"))
     outcome = (
         F.when(F.col("old_duplicate").isNull(), "new").when(F.col("old_duplicate"), "url_hash")
         .when(F.col("old_hash").eqNullSafe(F.col("content_hash")), "unchanged").otherwise("changed")
     )
     met = stored(one.join(old, "url_hash", "left").withColumn("outcome", outcome), "met")
-    prints = stored(dedup.fingerprints(met.where("outcome in ('new', 'changed')").select(F.col("url_hash").alias("id"), "content_text")), "prints")
 
     changed = met.where("outcome = 'changed'")
-    facts = ("id", "content_hash", "created_at", "hi", "lo")
-    after = documents.where("not is_duplicate").select(*facts).join(changed.select(F.col("url_hash").alias("id")), "id", "left_anti")
-    renewed = changed.select(F.col("url_hash").alias("id"), "content_hash", F.col("old_created").alias("created_at")).join(prints, "id", "left").select(*facts)
-    after = after.unionByName(renewed)
-
-    new = met.where("outcome = 'new'").select(F.col("url_hash").alias("id"), "content_hash", F.col("date_scraped").alias("created_at"))
-    by_hash = after.groupBy("content_hash").agg(F.min(F.struct("created_at", "id")).alias("known"))
+    facts = ("id", "content_hash", "created_at")
+    kept = documents.where("not is_duplicate").select(*facts, "hi", "lo").join(changed.select(F.col("url_hash").alias("id")), "id", "left_anti")
+    renewed = changed.select(F.col("url_hash").alias("id"), "content_hash", F.col("old_created").alias("created_at"), "item")
+    by_hash = kept.select(*facts).unionByName(renewed.select(*facts)).groupBy("content_hash").agg(F.min(F.struct("created_at", "id")).alias("known"))
+    new = met.where("outcome = 'new'").select(F.col("url_hash").alias("id"), "content_hash", F.col("date_scraped").alias("created_at"), "item")
     found = dedup.first_of(new, "content_hash", ["created_at"]).join(by_hash, "content_hash", "left")
-    found = found.withColumn("same", F.coalesce("known.id", F.when(F.col("first_id") != F.col("id"), F.col("first_id"))))
-    rest = stored(found.where("same is null").select("id", "created_at").join(prints, "id"), "rest")
-    near = dedup.oldest_similar(rest, after.where("hi is not null").select("id", "created_at", "hi", "lo"), max_hamming, among=True)
+    same = F.coalesce("known.id", F.when(F.col("first_id") != F.col("id"), F.col("first_id")))
+    found = stored(found.select("id", "created_at", "item", same.alias("same")), "found")
+
+    # Fingerprints of what may be stored with its text; exact copies need none.
+    rest = found.where("same is null")
+    asked = rest.select("item").unionByName(renewed.select("item"))
+    prints = stored(dedup.fingerprints(items.select(F.col("item").alias("id"), "content_text").join(asked.withColumnRenamed("item", "id"), "id", "left_semi")).withColumnRenamed("id", "item"), "prints")
+    after = kept.unionByName(renewed.join(prints, "item", "left").select(*facts, "hi", "lo"))
+    near = dedup.oldest_similar(rest.select("id", "created_at", "item").join(prints, "item"), after.where("hi is not null").select("id", "created_at", "hi", "lo"), max_hamming, among=True)
     new = found.select("id", "same").join(near, "id", "left").select(
         F.col("id").alias("url_hash"), F.coalesce("same", "older_id").alias("duplicate_of"),
         F.when(F.col("same").isNotNull(), "exact_hash").when(F.col("older_id").isNotNull(), F.format_string("simhash(%.3f)", 1 - F.col("distance") / dedup.BITS)).otherwise("unique").alias("method"),
     )
-    out = stored(met.join(new, "url_hash", "left").join(prints.withColumnRenamed("id", "url_hash"), "url_hash", "left"), "outcomes")
+    out = stored(met.join(new, "url_hash", "left").join(prints, "item", "left"), "outcomes")
 
     duplicate = F.col("duplicate_of").isNotNull()
     is_new = F.col("outcome") == "new"
@@ -84,7 +94,9 @@ def plan_batch(items: DataFrame, documents: DataFrame, round_number: int, max_ha
     def unless(value: Column | str) -> Column:
         return F.when(~duplicate, F.col(value) if isinstance(value, str) else value)
 
-    rows = out.where("outcome in ('new', 'changed')").select(
+    put = out.where("outcome in ('new', 'changed')")
+    put = items.select("item", "content_text").join(put.where(~duplicate), "item").unionByName(put.where(duplicate), allowMissingColumns=True)
+    rows = put.select(
         F.col("url_hash").alias("id"), "source_name", "content_hash", unless("content_text").alias("content_text"), unless("content_length").alias("content_length"),
         unless("word_count").alias("word_count"), unless("hi").alias("hi"), unless("lo").alias("lo"), duplicate.alias("is_duplicate"), "duplicate_of",
         F.coalesce("method", F.lit("changed")).alias("method"), F.when(is_new, "deduplicated").otherwise("stored").alias("pipeline_stage"), F.lit(0).alias("qa_count"),

@@ -31,9 +31,9 @@ class Corpus:
         self.spark, self.path, self.language, self.min_pairs = spark, path.rstrip("/"), language, min_pairs
         self.snapshots = Snapshots(spark, f"{self.path}/tables")
 
-    def table(self, name: str) -> DataFrame:
-        """A table as last committed."""
-        found = self.snapshots.read(name)
+    def table(self, name: str, only: DataFrame | None = None) -> DataFrame:
+        """A table as last committed, or its rows with the keys of ``only``."""
+        found = self.snapshots.read(name, only=only)
         if found is not None:
             return found
         empty = {"documents": changes.DOCUMENTS, "qa_pairs": "qa_hash string, document_id string, question string, answer string, llm_model string, date_generated timestamp_ntz"}
@@ -45,9 +45,13 @@ class Corpus:
         def plan() -> dict[str, Change]:
             url = F.col("url")
             found = items.select("source_name", T.url_hash(url).alias("url_hash"), "content_text", "language", "date_scraped")
-            text = F.coalesce("content_text", F.lit(""))
-            derived = found.withColumns({"content_hash": T.content_hash(text), "content_length": F.length(text), "word_count": T.word_count(text)})
-            derived = stored(derived.withColumn("admitted", F.col("url_hash").isNotNull() & gates.long_enough(F.col("content_length"), F.col("word_count")) & (F.lit(self.language is None) | F.col("language").eqNullSafe(self.language))), "items")
+            text, length = F.col("content_text"), F.col("content_length")
+            wanted = F.col("url_hash").isNotNull() & (F.lit(self.language is None) | F.col("language").eqNullSafe(self.language))
+            found = found.withColumn("content_length", F.coalesce(F.length(text), F.lit(0)))
+            # Words are counted, contents hashed and texts kept only where they are asked for.
+            found = found.withColumn("word_count", F.when(wanted & (length >= gates.MIN_CHARS), T.word_count(text)).otherwise(0))
+            found = found.withColumn("admitted", wanted & gates.long_enough(length, F.col("word_count")))
+            derived = changes.numbered(found.withColumns({"content_hash": F.when(F.col("admitted"), T.content_hash(text)), "content_text": F.when(F.col("admitted"), text)}))
             admitted = derived.where("admitted")
             made = changes.plan_batch(admitted, self.table("documents"), round_number)
             stale = self.table("qa_pairs").join(made.changed, "document_id", "left_semi").select("qa_hash")
@@ -77,7 +81,7 @@ class Corpus:
             waiting = gates.eligible(then.withColumn("quality_score", F.lit(None))).select(F.col("id").alias("document_id"), F.col("content_hash").alias("then_hash"))
             now = self.table("documents")
             fresh = waiting.join(now.select(F.col("id").alias("document_id"), "content_hash"), "document_id").where("content_hash <=> then_hash").select("document_id")
-            asked = pairs.join(fresh, "document_id")
+            asked = stored(pairs.join(fresh, "document_id"), "asked")
             return self._taken(asked.select("document_id").distinct(), asked)
 
         return self.snapshots.commit("pairs", batch_id, plan)
@@ -85,10 +89,11 @@ class Corpus:
     def _taken(self, asked: DataFrame, pairs: DataFrame) -> dict[str, Change]:
         """The changes by which the documents ``asked`` (document_id) take in their pairs (PAIRS)."""
         asked = stored(asked, "asked")
-        now, old = self.table("documents"), self.table("qa_pairs")
+        # Whole rows, with their texts, are read of those documents alone.
+        now, old = self.table("documents", asked.withColumnRenamed("document_id", "id")), self.table("qa_pairs")
         fit = qa.at_least(qa.acceptable(pairs), self.min_pairs).withColumn("qa_hash", T.qa_hash(F.col("question"), F.col("answer")))
         fit = stored(upsert.insert_if_absent(fit.select(*old.columns), old, "qa_hash", ["document_id", "date_generated"]), "pairs")
-        bumped = upsert.bump_parents(now.join(asked.withColumnRenamed("document_id", "id"), "id", "left_semi"), fit)
+        bumped = upsert.bump_parents(now, fit)
         bumped = bumped.withColumn("pipeline_stage", F.when(F.col("qa_count") == 0, "qa_skipped").otherwise(F.col("pipeline_stage")))
         return {"documents": Change(bumped.select(*now.columns), key=["id"]), "qa_pairs": Change(fit, key=["qa_hash"])}
 

@@ -74,14 +74,17 @@ class Snapshots:
         wanted = [n for n in names if n.endswith(".json") and (version is None or int(n[:-5]) == version)]
         return Manifest.parsed(storage.read_text(self.spark, f"{self.path}/manifests/{max(wanted)}")) if wanted else Manifest()
 
-    def read(self, name: str, version: int | None = None) -> DataFrame | None:
-        """A table as of the newest version, or of an older one; None where it doesn't exist."""
+    def read(self, name: str, version: int | None = None, only: DataFrame | None = None) -> DataFrame | None:
+        """A table as of the newest version, or of an older one; None where it doesn't exist. With
+        ``only``, a keyed table's rows with those keys, chosen in each part before parts meet."""
         table = self.manifest(version).tables.get(name)
-        return None if table is None else self._rows(table).drop(DELETED)
+        return None if table is None else self._rows(table, only).drop(DELETED)
 
-    def _rows(self, table: Table) -> DataFrame:
+    def _rows(self, table: Table, only: DataFrame | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(table.schema))
         frames = [self.spark.read.schema(schema).parquet(f"{self.path}/{p}") for p in table.parts]
+        if only is not None:
+            frames = [f.join(only, table.key, "left_semi") for f in frames]
         if table.key is None:
             out = frames[0]
             for f in frames[1:]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as T
 from corpusloom.functions.python import fingerprint
 from corpusloom.operators import changes
+from corpusloom.storage import stored
 from corpusloom.streaming import corpus as corpus_module
 from corpusloom.streaming.corpus import ITEMS, PAIRS, Corpus, until_settled
 from corpusloom.streaming.snapshots import Change, Snapshots
@@ -95,6 +96,37 @@ def test_plan_of_a_batch(spark):
     assert sorted(r.outcome for r in later.outcomes.collect()) == ["changed", "duplicate", "duplicate", "stored", "unchanged", "url_hash"]
 
 
+def test_texts_stay_where_they_landed(spark, tmp_path, monkeypatch):
+    """Of a batch only the items are stored with texts, those of admitted ones, and exact copies get no fingerprint."""
+    wide, printed = {}, []
+
+    def keep(df, name, *by):
+        out = stored(df, name, *by)
+        if "content_text" in out.columns:
+            wide[name] = out
+        return out
+
+    def prints(docs, shortest=50):
+        printed.append(docs.count())
+        return fingerprints(docs, shortest)
+
+    for module in (changes, corpus_module, changes.dedup):
+        monkeypatch.setattr(module, "stored", keep)
+    fingerprints = changes.dedup.fingerprints
+    monkeypatch.setattr(changes.dedup, "fingerprints", prints)
+    items = str(tmp_path / "items")
+    land(spark, items, [(1, prose(1)), (2, prose(1)), (3, prose(2)), (4, "too short"), (3, prose(5))])
+    c = Corpus(spark, str(tmp_path / "c"))
+    c.ingest(spark.read.schema(ITEMS).parquet(items), 0, 1)
+    assert list(wide) == ["items"] and sorted(r[0] or "" for r in wide["items"].select("content_text").collect()) == sorted(["", prose(1), prose(1), prose(2), prose(5)])
+    assert printed == [2]
+    docs = {r.id: (r.content_text, r.duplicate_of) for r in c.table("documents").collect()}
+    key = {u: hashed(spark, u) for u in (1, 2, 3)}
+    assert docs == {key[1]: (prose(1), None), key[2]: (None, key[1]), key[3]: (prose(5), None)}
+    some = c.table("documents", spark.createDataFrame([(key[2],), ("none",)], "id string"))
+    assert [r.id for r in some.collect()] == [key[2]]
+
+
 def test_rounds(spark, tmp_path):
     c = Corpus(spark, str(tmp_path / "c"), min_pairs=3)
     items, pairs = str(tmp_path / "items"), str(tmp_path / "pairs")
