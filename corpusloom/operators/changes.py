@@ -59,6 +59,8 @@ def plan_batch(items: DataFrame, documents: DataFrame, round_number: int, max_ha
     """
     items = items if "item" in items.columns else numbered(items)
     one = latest_items(items.where("url_hash is not null").select(*(c for c in ITEM if c != "content_text"), "item"))
+    # Read several times below, and put together from all parts of the table.
+    documents = stored(documents.select("id", "content_hash", "is_duplicate", "created_at", "hi", "lo"), "known")
     old = documents.select(F.col("id").alias("url_hash"), F.col("content_hash").alias("old_hash"), F.col("is_duplicate").alias("old_duplicate"), F.col("created_at").alias("old_created"))
     outcome = (
         F.when(F.col("old_duplicate").isNull(), "new").when(F.col("old_duplicate"), "url_hash")

@@ -79,8 +79,11 @@ class Corpus:
             then = self.snapshots.read("documents", pending)
             then = self.table("documents").limit(0) if then is None else then
             waiting = gates.eligible(then.withColumn("quality_score", F.lit(None))).select(F.col("id").alias("document_id"), F.col("content_hash").alias("then_hash"))
-            now = self.table("documents")
-            fresh = waiting.join(now.select(F.col("id").alias("document_id"), "content_hash"), "document_id").where("content_hash <=> then_hash").select("document_id")
+            # Documents are never deleted, so the others have the content that they had then.
+            put = self.snapshots.since("documents", pending)
+            put = then if put is None else put
+            other = put.select(F.col("id").alias("put_id"), F.col("content_hash").alias("put_hash"))
+            fresh = waiting.join(other, (F.col("document_id") == F.col("put_id")) & ~F.col("then_hash").eqNullSafe(F.col("put_hash")), "left_anti").select("document_id")
             asked = stored(pairs.join(fresh, "document_id"), "asked")
             return self._taken(asked.select("document_id").distinct(), asked)
 

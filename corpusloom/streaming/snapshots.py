@@ -18,6 +18,7 @@ import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ from .. import storage
 
 PARTS = 8
 DELETED = "_deleted"
+#: A row's part, counted from the oldest, and the newest part that has its key.
+PART, LAST = "_part", "_last"
 
 
 @dataclass
@@ -80,21 +83,31 @@ class Snapshots:
         table = self.manifest(version).tables.get(name)
         return None if table is None else self._rows(table, only).drop(DELETED)
 
+    def since(self, name: str, version: int) -> DataFrame | None:
+        """The rows that commits after a version have put into a keyed table, as they are now; all rows
+        where the table has been written whole since. None where it doesn't exist."""
+        now, then = self.manifest().tables.get(name), self.manifest(version).tables.get(name)
+        if now is None:
+            return None
+        before = len(then.parts) if then and now.parts[: len(then.parts)] == then.parts else 0
+        parts = now.parts[before:]
+        return self._rows(Table(now.key, now.schema, parts or now.parts)).drop(DELETED).where(F.lit(bool(parts)))
+
     def _rows(self, table: Table, only: DataFrame | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(table.schema))
-        frames = [self.spark.read.schema(schema).parquet(f"{self.path}/{p}") for p in table.parts]
-        if only is not None:
-            frames = [f.join(only, table.key, "left_semi") for f in frames]
+        frames = [self.spark.read.schema(schema).parquet(f"{self.path}/{p}").withColumn(PART, F.lit(i)) for i, p in enumerate(table.parts)]
         if table.key is None:
-            out = frames[0]
-            for f in frames[1:]:
-                out = out.unionByName(f)
-            return out
-        # Old rows stay where they are; only the keys of newer parts, which are small, are joined.
-        out, newer = frames[-1], frames[-1].select(*table.key)
-        for f in reversed(frames[:-1]):
-            out = out.unionByName(f.join(newer, table.key, "left_anti"))
-            newer = newer.unionByName(f.select(*table.key)) if f is not frames[0] else newer
+            return reduce(DataFrame.unionByName, frames).drop(PART)
+        # Old rows stay where they are; only the keys of newer parts, which are small, are joined, once for all old parts.
+        out = [frames[-1]] if len(frames) == 1 else [reduce(DataFrame.unionByName, frames[:-1]), frames[-1]]
+        if only is not None:
+            out = [f.join(only, table.key, "left_semi") for f in out]
+        if len(out) > 1:
+            newer = reduce(DataFrame.unionByName, (f.select(*table.key, PART) for f in frames[1:]))
+            # An outer join, as an anti join would be moved into each of the parts.
+            old = out[0].join(newer.groupBy(*table.key).agg(F.max(PART).alias(LAST)), table.key, "left")
+            out[0] = old.where(F.col(LAST).isNull() | (F.col(LAST) <= F.col(PART))).drop(LAST)
+        out = reduce(DataFrame.unionByName, out).drop(PART)
         return out.where(~F.col(DELETED))
 
     def commit(self, stream: str, batch_id: int, plan: Callable[[], dict[str, Change]]) -> bool:

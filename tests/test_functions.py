@@ -109,6 +109,21 @@ def test_fingerprint(text):
     assert P.fingerprint("") == P.fingerprint(None) == (0, 0)
 
 
+def test_fingerprints_of_a_batch(monkeypatch):
+    """A batch gives what each text gives; slices of 55 bytes are the longest that fit one block of MD5."""
+    edges = ["w" * 20 + " " + "v" * 17 + " " + "u" * n for n in (15, 16, 17)] + ["x" * n for n in (54, 55, 56, 200)]
+    long = " ".join(f"{'ab'[i % 2] * (i % 23)}{i % 7}" for i in range(900))
+    texts = [*edges, None, "", " ", "a", "a b", "é ü ñ ß", long, long]
+    wanted = [brute_print(t) if t and t.strip() else 0 for t in texts]
+    many = []
+    monkeypatch.setattr(P, "_md5_short", lambda line, s, e, f=P._md5_short: many.append(len(s)) or f(line, s, e))
+    for grams, at_once in ((P._GRAMS, P._AT_ONCE), (64, 10), (1, 1)):
+        monkeypatch.setattr(P, "_GRAMS", grams)
+        monkeypatch.setattr(P, "_AT_ONCE", at_once)
+        assert [(hi & (1 << 64) - 1) << 64 | lo & (1 << 64) - 1 for hi, lo in P.fingerprints(texts)] == wanted
+    assert max(many) > 900 and P.fingerprints([]) == []  # slices of many texts at once
+
+
 @pytest.mark.parametrize(
     ("reply", "wanted"),
     [

@@ -244,3 +244,44 @@ def test_until_settled():
 
     assert until_settled(step, lambda: max(0, left[0])) == 6
     assert until_settled(lambda: 0, lambda: 3) == 0
+
+
+def test_parts_are_read_with_one_join(spark, tmp_path):
+    """However many parts a table has, its old rows meet the newer keys in one join; what came after a version is told by its parts."""
+    s = Snapshots(spark, str(tmp_path / "t"))
+    frame = lambda data: spark.createDataFrame(data, "k string, n long, v string")
+    wanted = {}
+    for i in range(6):
+        data = [("a", n, f"{i}-{n}") for n in range(i, 8, i + 1)] + [(None, i, "null")]
+        gone = [("a", n, "") for n in range(7) if n % 5 == i]
+        assert s.commit("x", i, lambda data=data, gone=gone: {"t": Change(frame(data), frame(gone), ["k", "n"])})
+        keys = {r[:2] for r in data}
+        wanted = {k: v for k, v in wanted.items() if k not in {g[:2] for g in gone} - keys} | {r[:2]: r for r in data}
+    assert rows(s.read("t")) == sorted(wanted.values(), key=repr)
+    some = spark.createDataFrame([("a", 5), ("a", 2), ("b", 1)], "k string, n long")
+    assert rows(s.read("t", only=some)) == sorted((r for k, r in wanted.items() if k in (("a", 5), ("a", 2))), key=repr)
+    plan = s.read("t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert s.since("none", 0) is None and s.since("t", 6).count() == 0
+    assert rows(s.since("t", 0)) == rows(s.read("t"))
+    assert rows(s.since("t", 5)) == rows(s.read("t").where("v like '5-%' or n = 5 and k is null"))
+    for i in range(6, 9):
+        s.commit("x", i, lambda i=i: {"t": Change(frame([("c", i, "new")]))})
+    assert len(s.manifest().tables["t"].parts) == 1 and rows(s.since("t", 7)) == rows(s.read("t"))  # written whole since
+
+
+def test_known_documents_are_put_together_once(spark, monkeypatch):
+    """A batch reads the parts of the stored documents in one step, without their texts."""
+    read = []
+
+    def keep(df, name, *by):
+        read.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("known_rows")))
+        return stored(df, name, *by)
+
+    monkeypatch.setattr(changes, "stored", keep)
+    one = spark.createDataFrame([("s", "u1", prose(1), datetime.datetime(2024, 1, 1))], "source_name string, url_hash string, content_text string, date_scraped timestamp_ntz")
+    one = one.withColumns({"content_hash": T.content_hash(F.col("content_text")), "content_length": F.length("content_text"), "word_count": F.lit(60)})
+    none = spark.createDataFrame([], changes.DOCUMENTS)
+    known = none.withColumn("id", F.concat(F.lit("known_rows"), F.spark_partition_id().cast("string")))
+    made = changes.plan_batch(one, known, 1)
+    assert {n: k for n, k in read if k} == {"known": 1} and made.documents.count() == 1
